@@ -114,3 +114,18 @@ def best_by_metric(df: DataFrame, group_cols: list[str], item_col: str, metric_c
     return d.groupBy(*group_cols).agg(
         F.max_by(item_col, key).alias(f"best_{item_col}"),
         F.max(metric_col).alias(f"best_{metric_col}"))
+
+
+def last_record_per_key(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
+    """Last-write-wins row per key under a total order (a map-side
+    combinable ``max_by``, not a window)."""
+    others = [c for c in df.columns if c != key]
+    rec = F.max_by(F.struct(*others), F.struct(*order_cols))
+    return df.groupBy(key).agg(rec.alias("_r")).select(key, "_r.*")
+
+
+def first_record_per_key(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
+    """First-write-wins row per key under a total order."""
+    others = [c for c in df.columns if c != key]
+    rec = F.min_by(F.struct(*others), F.struct(*order_cols))
+    return df.groupBy(key).agg(rec.alias("_r")).select(key, "_r.*")
