@@ -76,3 +76,23 @@ def top_n_per_group(df: DataFrame, group_cols: list[str], order_cols: list, n: i
     if rank_col:
         out = out.withColumn(rank_col, F.col("_tr2").cast("bigint"))
     return out.drop("_tb", "_tr", "_tr2")
+
+
+def rank_by(df: DataFrame, order_cols: list, rank_col: str = "rank", partitions: int | None = None) -> DataFrame:
+    """Dense 1-based rank under an arbitrary total order, without a
+    one-partition window: range-partition on the order, number rows inside
+    each sorted partition, add the row counts of all earlier partitions
+    (a table with one row per partition, broadcast)."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = _order_exprs(order_cols)
+    part = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    local = (part.withColumn("_rp", F.spark_partition_id())
+                 .withColumn("_rl", F.monotonically_increasing_id()))
+    # monotonically_increasing_id = (partition << 33) + position inside the partition
+    local = local.withColumn("_rl", F.col("_rl") - F.shiftleft(F.col("_rp").cast("bigint"), 33) + 1)
+    counts = local.groupBy("_rp").agg(F.count(F.lit(1)).alias("_rn"))
+    w = Window.orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_rp", F.coalesce(F.sum("_rn").over(w), F.lit(0)).alias("_ro"))
+    out = local.join(F.broadcast(offsets), "_rp")  # one row per partition
+    return out.withColumn(rank_col, (F.col("_rl") + F.col("_ro")).cast("bigint")).drop("_rp", "_rl", "_ro")
