@@ -89,6 +89,10 @@ def rank_by(df: DataFrame, order_cols: list, rank_col: str = "rank", partitions:
     part = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     local = (part.withColumn("_rp", F.spark_partition_id())
                  .withColumn("_rl", F.monotonically_increasing_id()))
+    # Range bounds are sampled from the input; pin one assignment so the
+    # row numbers and the per-partition counts below agree (reliable
+    # checkpoint in the shared folder, survives executor loss).
+    local = local.checkpoint(eager=True)
     # monotonically_increasing_id = (partition << 33) + position inside the partition
     local = local.withColumn("_rl", F.col("_rl") - F.shiftleft(F.col("_rp").cast("bigint"), 33) + 1)
     counts = local.groupBy("_rp").agg(F.count(F.lit(1)).alias("_rn"))
@@ -96,3 +100,35 @@ def rank_by(df: DataFrame, order_cols: list, rank_col: str = "rank", partitions:
     offsets = counts.select("_rp", F.coalesce(F.sum("_rn").over(w), F.lit(0)).alias("_ro"))
     out = local.join(F.broadcast(offsets), "_rp")  # one row per partition
     return out.withColumn(rank_col, (F.col("_rl") + F.col("_ro")).cast("bigint")).drop("_rp", "_rl", "_ro")
+
+
+def running_sums(df: DataFrame, order_col: str, value_cols: list[str], group_cols: list[str] | None = None,
+                 descending: bool = False, partitions: int | None = None) -> DataFrame:
+    """Exclusive running sums ``sum(v) over (partition by g order by o rows
+    unbounded preceding .. 1 preceding)`` for each ``v``, spread over range
+    partitions: partition-local windows plus the totals of earlier partitions
+    of the same group (one row per (group, partition), broadcast).
+
+    ``order_col`` must be unique within a group (aggregate to distinct values first).
+    Adds ``before_<v>`` columns.
+    """
+    group_cols = list(group_cols or [])
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    o = F.desc(order_col) if descending else F.asc(order_col)
+    part = (df.repartitionByRange(n, *[F.asc(g) for g in group_cols], o)
+              .withColumn("_sp", F.spark_partition_id()))
+    # pin the sampled range bounds: both branches below must see one assignment
+    part = part.checkpoint(eager=True)
+    w = (Window.partitionBy("_sp", *group_cols).orderBy(o)
+         .rowsBetween(Window.unboundedPreceding, -1))
+    local = part.withColumns({f"_l_{v}": F.coalesce(F.sum(v).over(w), F.lit(0)) for v in value_cols})
+    totals = part.groupBy(*group_cols, "_sp").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
+    w2 = (Window.partitionBy(*group_cols).orderBy("_sp")
+          .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.select(*group_cols, "_sp",
+                            *[F.coalesce(F.sum(f"_t_{v}").over(w2), F.lit(0)).alias(f"_o_{v}")
+                              for v in value_cols])
+    out = local.join(F.broadcast(offsets), [*group_cols, "_sp"])
+    out = out.withColumns({f"before_{v}": F.col(f"_l_{v}") + F.col(f"_o_{v}") for v in value_cols})
+    return out.drop("_sp", *[f"_l_{v}" for v in value_cols], *[f"_o_{v}" for v in value_cols])
