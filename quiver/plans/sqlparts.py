@@ -114,7 +114,8 @@ split_rows AS (
 
 REVIEWS = """
 reviews AS (
-  SELECT d.doc_id, d.text AS review, l.quality AS labels, d.n_chars AS score_raw, d.lang
+  SELECT d.doc_id, d.text AS review, l.quality AS labels, d.n_chars AS score_raw,
+         d.n_chars / (d.n_chars + 2000.0::DOUBLE) AS score, d.lang
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
 
 VECTORS = """

@@ -92,9 +92,11 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars", "lang")
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    # stand-in model score in (0, 1): a fixed monotone map of the text length
+    score = F.col("n_chars") / (F.col("n_chars") + F.lit(2000.0))
     return d.join(lab, "doc_id").select(
         "doc_id", F.col("text").alias("review"), F.col("quality").alias("labels"),
-        F.col("n_chars").alias("score_raw"), "lang")
+        F.col("n_chars").alias("score_raw"), score.alias("score"), "lang")
 
 
 # --- P1 vectors ---
