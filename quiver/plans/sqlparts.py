@@ -124,12 +124,24 @@ vectors AS (
          CAST(embedding AS DOUBLE[]) AS vec, label
   FROM embeddings)"""
 
+IMAGES = """
+images AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS image_key, CAST(o_orderkey AS VARCHAR) || '.jpg' AS name,
+         o_orderpriority AS target, CAST(o_custkey AS VARCHAR) AS user_id,
+         CASE WHEN o_orderstatus = 'F' THEN 'right' ELSE 'left' END AS leading_hand
+  FROM orders)"""
+
 BOXES = """
 boxes AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS image_key, l_linenumber AS box_pos,
          l_discount AS x, l_tax AS y, l_quantity / 100 AS w, (l_discount + l_tax) / 2 AS h,
-         l_returnflag AS label, CAST(o_custkey AS VARCHAR) AS user_id
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+         CASE WHEN l_returnflag = 'N' THEN 'no_gesture' WHEN l_returnflag = 'A' THEN 'call'
+              ELSE 'rock' END AS label,
+         l_discount * 10 AS score
+  FROM lineitem)"""
+
+FILES = """
+files AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) || '.jpg' AS name FROM lineitem)"""
 
 RUNS = """
 runs AS (

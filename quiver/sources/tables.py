@@ -110,23 +110,43 @@ def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("label"))
 
 
-# --- P4 annotations: order = image, line item = box ---
+# --- P4 annotations: order = image (class folder = priority), line item = box ---
+def annotation_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per annotated image: key, file name, class folder, user, leading hand."""
+    o = read_table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").cast("string")
+    return o.select(
+        key.alias("image_key"),
+        F.concat(key, F.lit(".jpg")).alias("name"),
+        F.col("o_orderpriority").alias("target"),
+        F.col("o_custkey").cast("string").alias("user_id"),
+        F.when(F.col("o_orderstatus") == "F", "right").otherwise("left").alias("leading_hand"),
+    )
+
+
 def annotation_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per box: image key, box position, relative xywh, label, user."""
+    """One row per box: image key, position, relative xywh, label, detector score."""
     li = read_table(spark, sf_dir, "lineitem")
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+    label = (F.when(F.col("l_returnflag") == "N", "no_gesture")
+              .when(F.col("l_returnflag") == "A", "call").otherwise("rock"))
+    return li.select(
         F.col("l_orderkey").cast("string").alias("image_key"),
         F.col("l_linenumber").alias("box_pos"),
         F.col("l_discount").alias("x"),
         F.col("l_tax").alias("y"),
         (F.col("l_quantity") / 100).alias("w"),
         ((F.col("l_discount") + F.col("l_tax")) / 2).alias("h"),
-        F.col("l_returnflag").alias("label"),
-        F.col("o_custkey").cast("string").alias("user_id"),
+        label.alias("label"),
+        (F.col("l_discount") * 10).alias("score"),
     )
 
 
+def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File listing stand-in: one file name per image key present in lineitem."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select(F.concat(F.col("l_orderkey").cast("string"), F.lit(".jpg")).alias("name")).distinct()
+
+
 # --- P5 runs: flow = user, run = event, successful = not an error ---
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
