@@ -150,5 +150,14 @@ runs AS (
   FROM events)"""
 
 
+RUN_RECORDS = """
+run_records AS (SELECT o_orderkey AS run_id, o_custkey AS flow, o_orderstatus = 'F' AS successful,
+                       o_orderdate AS created_at FROM orders)"""
+
+RUN_RESULTS = """
+run_results AS (SELECT l_orderkey AS run_id, l_linenumber AS row_idx, l_returnflag AS model,
+                       l_quantity / 50 AS accuracy, l_tax * 10 AS test_loss FROM lineitem)"""
+
+
 def with_(*parts: str) -> str:
     return "WITH " + ",".join(p.strip() for p in parts)

@@ -158,3 +158,17 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("metric"),
         F.col("ts").alias("created_at"),
     )
+
+
+# --- P5 run results: order = run (successful when status F), line item = result row ---
+def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("run_id"), F.col("o_custkey").alias("flow"),
+                    (F.col("o_orderstatus") == "F").alias("successful"), F.col("o_orderdate").alias("created_at"))
+
+
+def run_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_orderkey").alias("run_id"), F.col("l_linenumber").alias("row_idx"),
+                     F.col("l_returnflag").alias("model"), (F.col("l_quantity") / 50).alias("accuracy"),
+                     (F.col("l_tax") * 10).alias("test_loss"))
