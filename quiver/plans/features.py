@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quiver.functions.common import arr_text, r6
 from quiver.operators import features
-from quiver.plans.purchases import split_rows, tx
+from quiver.plans.purchases import split_table, tx
 from quiver.plans.registry import plan
 from quiver.plans.sqlparts import SPLIT, STAGED_CUSTOMERS, STAGED_TX, with_
 from quiver.plans.purchases import customers
@@ -73,7 +73,7 @@ z AS (SELECT wm.*, CASE WHEN coalesce(sd, 0) = 0 THEN 0.0 ELSE (avg_price0 - mu)
 SELECT article_id, customer_id, t_dat, split, round(avg_price, 6) AS avg_price FROM z""")
 def q_item_avg_price(spark, sf):
     """Item mean price (fit on train) on every row, fill 0, z-score."""
-    s = split_rows(spark, sf)
+    s = split_table(spark, sf)
     out = features.item_avg_price(s, fit_on=s.filter(F.col("split") == "train"))
     return out.select("article_id", "customer_id", "t_dat", "split", r6("avg_price").alias("avg_price"))
 
@@ -96,7 +96,7 @@ _ENC_SQL = (with_(SPLIT, _AVG_PRICE_CTE, _ENC_BASE,
 
 
 def _encoded(spark, sf):
-    return features.encode_splits(split_rows(spark, sf), fit_on_all=False)
+    return features.encode_splits(split_table(spark, sf), fit_on_all=False)
 
 
 @plan("encode_splits", _ENC_SQL)
@@ -143,10 +143,10 @@ SELECT coalesce(cu2._value, '?') AS customer_id, array_to_string(items, '>') AS
 FROM lists LEFT JOIN cu cu2 ON lists.user_code = cu2.code""")
 def q_decode_ids(spark, sf):
     """Coded test purchases per user code -> user id and every list element decoded."""
-    s = split_rows(spark, sf)
+    s = split_table(spark, sf)
     train = s.filter(F.col("split") == "train")
-    cu = features.fit_categories(train, "customer_id")
-    ca = features.fit_categories(train, "article_id")
+    cats = features.fit_many(train, ["customer_id", "article_id"])
+    cu, ca = cats["customer_id"], cats["article_id"]
     t = ca.transform(cu.transform(s.filter(F.col("split") == "test"), "user_code"), "item_code")
     lists = (t.groupBy("user_code")
               .agg(F.sort_array(F.collect_list(F.struct("t_dat", "item_code", "article_id"))).alias("_l"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quiver.operators import experiments, features, knn, learn, metrics, profile, sampling
 from quiver.plans.playlists import _sequences
-from quiver.plans.purchases import split_rows
+from quiver.plans.purchases import split_table
 from quiver.plans.registry import plan
 from quiver.plans.text_plans import _split_reviews, fitted_model
 from quiver.session import shared_path
@@ -62,9 +62,9 @@ def q_grid_results(spark, sf):
 @plan("als_topk")
 def q_als_topk(spark, sf):
     """Implicit ALS on coded train purchases, top-10 articles per test shopper."""
-    s = split_rows(spark, sf)
-    cu = features.fit_categories(s, "customer_id")
-    ca = features.fit_categories(s, "article_id")
+    s = split_table(spark, sf)
+    cats = features.fit_many(s, ["customer_id", "article_id"])
+    cu, ca = cats["customer_id"], cats["article_id"]
     coded = ca.transform(cu.transform(s, "user_code"), "item_code").select("user_code", "item_code", "split")
     coded = coded.withColumns({"user_code": F.col("user_code").cast("int"), "item_code": F.col("item_code").cast("int")})
     train = coded.filter(F.col("split") == "train")

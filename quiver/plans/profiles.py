@@ -8,7 +8,7 @@ from quiver.functions import vectors as vf
 from quiver.functions.common import r6, round_even
 from quiver.operators import profile
 from quiver.plans.playlists import _playlists
-from quiver.plans.purchases import articles, customers, split_rows
+from quiver.plans.purchases import articles, customers, split_table
 from quiver.plans.registry import plan
 from quiver.plans.sqlparts import PLAYLISTS, SPLIT, STAGED_ARTICLES, STAGED_CUSTOMERS, with_
 from quiver.sources.tables import read_table
@@ -55,7 +55,7 @@ SELECT split, count(*) AS n, format('{:,}', count(*)) AS n_text,
 FROM split_rows GROUP BY split""")
 def q_split_report(spark, sf):
     """Rows per split with a thousands separator and a percent share."""
-    s = split_rows(spark, sf)
+    s = split_table(spark, sf)
     total = s.select(F.count(F.lit(1))).scalar()
     c = s.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
     return c.select("split", "n", F.format_number("n", 0).alias("n_text"),

@@ -48,6 +48,13 @@ def split_rows(spark, sf):
     return sampling.time_split(filtered(spark, sf), "t_dat", TRAIN_END, VALID_END)
 
 
+def split_table(spark, sf):
+    """The split training frame pinned in the shared checkpoint folder, for
+    plans that read it several times (fits, statistics, transforms): the
+    reference also materialises this frame as a file before modelling."""
+    return split_rows(spark, sf).checkpoint(eager=True)
+
+
 @plan("stage_articles", with_(STAGED_ARTICLES) + " SELECT * FROM articles")
 def q_stage_articles(spark, sf):
     """13 article columns, strict casts."""

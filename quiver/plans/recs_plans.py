@@ -9,7 +9,7 @@ from quiver.functions.common import arr_text, r6
 from quiver.operators import features, metrics, profile, recs, sinks
 from quiver.plans.features import codes_sql
 from quiver.plans.playlists import _sequences
-from quiver.plans.purchases import split_rows
+from quiver.plans.purchases import split_table
 from quiver.plans.registry import plan
 from quiver.plans.sqlparts import SEQUENCES, SPLIT, VECTORS, with_
 from quiver.sources.tables import item_vectors, read_table
@@ -34,9 +34,9 @@ def user_recs(spark, sf, k: int = K):
     """Codes fitted on all splits (the reference's way); popularity top-k in
     code space; one prediction per test row; first record per shopper; user,
     items and target decoded back to ids."""
-    s = split_rows(spark, sf)
-    cu = features.fit_categories(s, "customer_id")
-    ca = features.fit_categories(s, "article_id")
+    s = split_table(spark, sf)
+    cats = features.fit_many(s, ["customer_id", "article_id"])
+    cu, ca = cats["customer_id"], cats["article_id"]
     coded = ca.transform(cu.transform(s, "user_code"), "item_code")
     pop = recs.popularity_topk(coded.filter(F.col("split") == "train"), "item_code", k)
     test = coded.filter(F.col("split") == "test").select("user_code", "item_code", "t_dat", "article_id", "price",
