@@ -19,6 +19,15 @@ from pyspark.sql import functions as F
 
 from quiver.functions.common import seeded_hash
 
+# Largest table ranked or summed inside one task. Above it the range-partitioned
+# path is used; the size is measured, never assumed.
+SINGLE_TASK_MAX_ROWS = 1_000_000
+
+
+def fits_one_task(df: DataFrame, max_rows: int = SINGLE_TASK_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
 
 def _order_exprs(order_cols):
     out = []
@@ -84,8 +93,11 @@ def rank_by(df: DataFrame, order_cols: list, rank_col: str = "rank", partitions:
     each sorted partition, add the row counts of all earlier partitions
     (a table with one row per partition, broadcast)."""
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order_exprs(order_cols)
+    if partitions is None and fits_one_task(df):
+        # measured small: one sorted window is cheaper than the distributed path
+        return df.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     part = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     local = (part.withColumn("_rp", F.spark_partition_id())
                  .withColumn("_rl", F.monotonically_increasing_id()))
@@ -114,8 +126,12 @@ def running_sums(df: DataFrame, order_col: str, value_cols: list[str], group_col
     """
     group_cols = list(group_cols or [])
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     o = F.desc(order_col) if descending else F.asc(order_col)
+    if partitions is None and fits_one_task(df):
+        # measured small: a plain window per group
+        w = Window.partitionBy(*group_cols).orderBy(o).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumns({f"before_{v}": F.coalesce(F.sum(v).over(w), F.lit(0)) for v in value_cols})
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     part = (df.repartitionByRange(n, *[F.asc(g) for g in group_cols], o)
               .withColumn("_sp", F.spark_partition_id()))
     # pin the sampled range bounds: both branches below must see one assignment

@@ -73,7 +73,7 @@ z AS (SELECT wm.*, CASE WHEN coalesce(sd, 0) = 0 THEN 0.0 ELSE (avg_price0 - mu)
 SELECT article_id, customer_id, t_dat, split, round(avg_price, 6) AS avg_price FROM z""")
 def q_item_avg_price(spark, sf):
     """Item mean price (fit on train) on every row, fill 0, z-score."""
-    s = split_table(spark, sf)
+    s = split_table(spark, sf, ["article_id", "customer_id", "t_dat", "split", "price"])
     out = features.item_avg_price(s, fit_on=s.filter(F.col("split") == "train"))
     return out.select("article_id", "customer_id", "t_dat", "split", r6("avg_price").alias("avg_price"))
 
@@ -96,7 +96,9 @@ _ENC_SQL = (with_(SPLIT, _AVG_PRICE_CTE, _ENC_BASE,
 
 
 def _encoded(spark, sf):
-    return features.encode_splits(split_table(spark, sf), fit_on_all=False)
+    cols = ["article_id", "customer_id", "t_dat", "split", "price", "age", "product_group_name",
+            "club_member_status"]
+    return features.encode_splits(split_table(spark, sf, cols), fit_on_all=False)
 
 
 @plan("encode_splits", _ENC_SQL)
@@ -143,7 +145,7 @@ SELECT coalesce(cu2._value, '?') AS customer_id, array_to_string(items, '>') AS
 FROM lists LEFT JOIN cu cu2 ON lists.user_code = cu2.code""")
 def q_decode_ids(spark, sf):
     """Coded test purchases per user code -> user id and every list element decoded."""
-    s = split_table(spark, sf)
+    s = split_table(spark, sf, ["article_id", "customer_id", "t_dat", "split"])
     train = s.filter(F.col("split") == "train")
     cats = features.fit_many(train, ["customer_id", "article_id"])
     cu, ca = cats["customer_id"], cats["article_id"]

@@ -62,7 +62,7 @@ def q_grid_results(spark, sf):
 @plan("als_topk")
 def q_als_topk(spark, sf):
     """Implicit ALS on coded train purchases, top-10 articles per test shopper."""
-    s = split_table(spark, sf)
+    s = split_table(spark, sf, ["article_id", "customer_id", "split"])
     cats = features.fit_many(s, ["customer_id", "article_id"])
     cu, ca = cats["customer_id"], cats["article_id"]
     coded = ca.transform(cu.transform(s, "user_code"), "item_code").select("user_code", "item_code", "split")

@@ -55,7 +55,7 @@ SELECT split, count(*) AS n, format('{:,}', count(*)) AS n_text,
 FROM split_rows GROUP BY split""")
 def q_split_report(spark, sf):
     """Rows per split with a thousands separator and a percent share."""
-    s = split_table(spark, sf)
+    s = split_table(spark, sf, ["split"])
     total = s.select(F.count(F.lit(1))).scalar()
     c = s.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
     return c.select("split", "n", F.format_number("n", 0).alias("n_text"),

@@ -48,11 +48,15 @@ def split_rows(spark, sf):
     return sampling.time_split(filtered(spark, sf), "t_dat", TRAIN_END, VALID_END)
 
 
-def split_table(spark, sf):
+def split_table(spark, sf, cols: list[str] | None = None):
     """The split training frame pinned in the shared checkpoint folder, for
     plans that read it several times (fits, statistics, transforms): the
-    reference also materialises this frame as a file before modelling."""
-    return split_rows(spark, sf).checkpoint(eager=True)
+    reference also materialises this frame as a file before modelling.
+    ``cols`` prunes it first, so only the needed columns are computed."""
+    s = split_rows(spark, sf)
+    if cols:
+        s = s.select(*cols)
+    return s.checkpoint(eager=True)
 
 
 @plan("stage_articles", with_(STAGED_ARTICLES) + " SELECT * FROM articles")

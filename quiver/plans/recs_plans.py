@@ -34,7 +34,7 @@ def user_recs(spark, sf, k: int = K):
     """Codes fitted on all splits (the reference's way); popularity top-k in
     code space; one prediction per test row; first record per shopper; user,
     items and target decoded back to ids."""
-    s = split_table(spark, sf)
+    s = split_table(spark, sf, ["article_id", "customer_id", "t_dat", "split", "price", "sales_channel_id"])
     cats = features.fit_many(s, ["customer_id", "article_id"])
     cu, ca = cats["customer_id"], cats["article_id"]
     coded = ca.transform(cu.transform(s, "user_code"), "item_code")

@@ -49,7 +49,7 @@ def q_clean_header(spark, sf):
 SELECT row_number() OVER (ORDER BY event_id) - 1 AS row_id, event_id, event_type FROM events""")
 def q_row_id(spark, sf):
     """Dense 0-based row id in file order (the events file is written in id order)."""
-    return files.row_ids(read_table(spark, sf, "events")).select("row_id", "event_id", "event_type")
+    return files.row_ids(read_table(spark, sf, "events", spread=False)).select("row_id", "event_id", "event_type")
 
 
 @plan("scan_parquet", "SELECT * FROM orders")

@@ -13,9 +13,20 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one table (A05/A06); Catalyst prunes columns and pushes filters."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Parquet scan of one table (A05/A06); Catalyst prunes columns and pushes filters.
+
+    A file with a single row group scans as one task whatever its size. When
+    the scan has fewer partitions than the cluster's default parallelism it
+    is spread round-robin (a deterministic shuffle, safe on retry); with a
+    real many-file, many-row-group input the check is false and the scan is
+    used as is. ``spread=False`` keeps file order (row ids)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        n = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < n:
+            df = df.repartition(n)
+    return df
 
 
 def read_glob(spark: SparkSession, pattern: str) -> DataFrame:

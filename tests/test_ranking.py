@@ -36,3 +36,12 @@ def test_top_n_per_group_skewed_group(spark):
     out = top_n_per_group(df, ["g"], [F.desc("v")], 3, rank_col="r").collect()
     got = sorted((r.g, r.v, r.r) for r in out)
     assert got == [("cold", 2, 3), ("cold", 3, 2), ("cold", 4, 1), ("hot", 4997, 3), ("hot", 4998, 2), ("hot", 4999, 1)]
+
+
+def test_small_tables_take_single_task_path(spark):
+    df = spark.range(200).select((F.col("id") * 37 % 200).alias("v"))
+    assert sorted(r["rank"] for r in rank_by(df, ["v"]).collect()) == list(range(1, 201))
+    rows = [(g, s, s % 3) for g in range(2) for s in range(20)]
+    d = spark.createDataFrame(rows, "g int, s int, q int")
+    for r in running_sums(d, "s", ["q"], group_cols=["g"]).collect():
+        assert r.before_q == sum(q for g, s, q in rows if g == r.g and s < r.s)
