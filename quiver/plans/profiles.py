@@ -85,3 +85,25 @@ def q_nested_scale(spark, sf):
     sums = [r6(F.aggregate(F.element_at("n", i + 1), F.lit(0.0), lambda a, x: a + x)).alias(f"s{i}")
             for i in range(8)]
     return scaled.select("vec_id", *sums)
+
+
+@plan("powerlaw_fit", with_(PLAYLISTS) + """,
+f AS (SELECT track_id, count(*) AS x FROM playlists GROUP BY track_id),
+coc AS (SELECT x, count(*) AS m FROM f GROUP BY x),
+cand AS (SELECT x AS xmin FROM coc WHERE x < (SELECT max(x) FROM coc)),
+tail AS (SELECT cand.xmin, coc.x, coc.m FROM cand JOIN coc ON coc.x >= cand.xmin),
+fit AS (SELECT xmin, sum(m) AS n, 1 + sum(m) / sum(m * ln(x / (xmin - 0.5))) AS alpha FROM tail GROUP BY xmin),
+cdf AS (SELECT t.xmin, sum(t.m) OVER (PARTITION BY t.xmin ORDER BY t.x) / fit.n AS emp,
+               1 - pow((t.x + 0.5) / (t.xmin - 0.5), 1 - fit.alpha) AS fitc
+        FROM tail t JOIN fit ON t.xmin = fit.xmin),
+ks AS (SELECT xmin, max(abs(emp - fitc)) AS ks FROM cdf GROUP BY xmin),
+res AS (SELECT fit.xmin, fit.n AS n_tail, fit.alpha, ks.ks FROM fit JOIN ks ON fit.xmin = ks.xmin)
+SELECT xmin, n_tail, round(alpha, 6) AS alpha, round(ks, 6) AS ks,
+       xmin = (SELECT arg_min(xmin, (ks, xmin)) FROM res) AS is_best FROM res""")
+def q_powerlaw_fit(spark, sf):
+    """Discrete power-law fit of track frequencies: alpha and KS distance for every xmin."""
+    from quiver.operators.powerlaw import powerlaw_fit
+
+    f = _playlists(spark, sf).groupBy("track_id").agg(F.count(F.lit(1)).alias("x"))
+    p = powerlaw_fit(f, "x")
+    return p.select("xmin", "n_tail", r6("alpha").alias("alpha"), r6("ks").alias("ks"), "is_best")
