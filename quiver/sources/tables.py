@@ -21,14 +21,35 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
     is spread round-robin (a deterministic shuffle, safe on retry); with a
     real many-file, many-row-group input the check is false and the scan is
     used as is. ``spread=False`` keeps file order (row ids)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
     if spread:
         n = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < n:
+        key = (spark.sparkContext.applicationId, path)
+        if key not in _SCAN_PARTS:
+            _SCAN_PARTS[key] = df.rdd.getNumPartitions()  # planning only, no job
+        if _SCAN_PARTS[key] < n and _local_bytes(path) >= SPREAD_MIN_BYTES:
             df = df.repartition(n)
     return df
 
 
+# Smallest single-file input worth a round-robin spread (smaller ones scan fast in one task).
+SPREAD_MIN_BYTES = 4 * 1024 * 1024
+_SCAN_PARTS: dict = {}
+
+
+def _local_bytes(path: str) -> int:
+    """Size of a local file or folder; 0 when not on the local file system."""
+    import os
+
+    p = path[len("file:"):] if path.startswith("file:") else path
+    if os.path.isfile(p):
+        return os.path.getsize(p)
+    if os.path.isdir(p):
+        return sum(os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(p) for f in fs)
+    return 0
+
+
 def read_glob(spark: SparkSession, pattern: str) -> DataFrame:
     """Parquet glob scan (A07): every file matching the pattern is one relation."""
     return spark.read.parquet(pattern)
