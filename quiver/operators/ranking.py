@@ -25,10 +25,17 @@ SINGLE_TASK_MAX_ROWS = 1_000_000
 
 
 def fits_one_task(df: DataFrame, max_rows: int = SINGLE_TASK_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+    """True when ``df`` has at most ``max_rows`` rows. Call it on a pinned
+    (checkpointed) frame so the probe does not recompute the lineage."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def pin(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder: later branches read one fixed
+    copy (deterministic range sampling, no recomputation, survives executor loss)."""
+    return df.checkpoint(eager=True)
+
+
 def _order_exprs(order_cols):
     out = []
     for c in order_cols:
@@ -94,6 +101,9 @@ def rank_by(df: DataFrame, order_cols: list, rank_col: str = "rank", partitions:
     (a table with one row per partition, broadcast)."""
     spark = df.sparkSession
     order = _order_exprs(order_cols)
+    # Pinned input: the size probe reads it instead of recomputing the lineage,
+    # and range bounds sampled from it are the same in every branch below.
+    df = pin(df)
     if partitions is None and fits_one_task(df):
         # measured small: one sorted window is cheaper than the distributed path
         return df.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
@@ -101,10 +111,6 @@ def rank_by(df: DataFrame, order_cols: list, rank_col: str = "rank", partitions:
     part = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     local = (part.withColumn("_rp", F.spark_partition_id())
                  .withColumn("_rl", F.monotonically_increasing_id()))
-    # Range bounds are sampled from the input; pin one assignment so the
-    # row numbers and the per-partition counts below agree (reliable
-    # checkpoint in the shared folder, survives executor loss).
-    local = local.checkpoint(eager=True)
     # monotonically_increasing_id = (partition << 33) + position inside the partition
     local = local.withColumn("_rl", F.col("_rl") - F.shiftleft(F.col("_rp").cast("bigint"), 33) + 1)
     counts = local.groupBy("_rp").agg(F.count(F.lit(1)).alias("_rn"))
@@ -127,6 +133,7 @@ def running_sums(df: DataFrame, order_col: str, value_cols: list[str], group_col
     group_cols = list(group_cols or [])
     spark = df.sparkSession
     o = F.desc(order_col) if descending else F.asc(order_col)
+    df = pin(df)  # one copy for the size probe and for consistent range bounds
     if partitions is None and fits_one_task(df):
         # measured small: a plain window per group
         w = Window.partitionBy(*group_cols).orderBy(o).rowsBetween(Window.unboundedPreceding, -1)
@@ -134,8 +141,6 @@ def running_sums(df: DataFrame, order_col: str, value_cols: list[str], group_col
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     part = (df.repartitionByRange(n, *[F.asc(g) for g in group_cols], o)
               .withColumn("_sp", F.spark_partition_id()))
-    # pin the sampled range bounds: both branches below must see one assignment
-    part = part.checkpoint(eager=True)
     w = (Window.partitionBy("_sp", *group_cols).orderBy(o)
          .rowsBetween(Window.unboundedPreceding, -1))
     local = part.withColumns({f"_l_{v}": F.coalesce(F.sum(v).over(w), F.lit(0)) for v in value_cols})

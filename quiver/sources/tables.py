@@ -18,7 +18,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
 
     A file with a single row group scans as one task whatever its size. When
     the scan has fewer partitions than the cluster's default parallelism it
-    is spread round-robin (a deterministic shuffle, safe on retry); with a
+    is spread by a hash of its leading column (deterministic, safe on retry); with a
     real many-file, many-row-group input the check is false and the scan is
     used as is. ``spread=False`` keeps file order (row ids)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
@@ -29,7 +29,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
         if key not in _SCAN_PARTS:
             _SCAN_PARTS[key] = df.rdd.getNumPartitions()  # planning only, no job
         if _SCAN_PARTS[key] < n and _local_bytes(path) >= SPREAD_MIN_BYTES:
-            df = df.repartition(n)
+            # hash on the leading (key) column: deterministic without the
+            # pre-sort a round-robin spread needs, and other columns still prune
+            df = df.repartition(n, df.columns[0])
     return df
 
 
