@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove RDD checkpoint files once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -49,7 +51,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def apply_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of BASE_CONF to an existing session."""
     for k, v in BASE_CONF.items():
-        if k.startswith("spark.ui."):
+        if k.startswith("spark.ui.") or k.startswith("spark.cleaner."):
             continue
         try:
             spark.conf.set(k, v)
