@@ -70,6 +70,9 @@ def centroid_scores(items: DataFrame, id_col: str, vec_col: str, label_col: str,
                 .agg(F.sort_array(F.collect_list(F.struct("_pos", "_m"))).alias("_l"))
                 .select(F.struct(F.col(label_col).alias("cls"),
                                  F.transform("_l", lambda e: e["_m"]).alias("c")).alias("cc")))
+    from quiver.operators.ranking import require_bounded
+
+    require_bounded(cen, 10_000, "class centroids")
     packed = cen.select(F.sort_array(F.collect_list("cc"))).scalar()
     ex = u.select(F.col(id_col), F.col(label_col).alias("truth"), "_u", F.explode(packed).alias("_c"))
     scored = ex.select(id_col, "truth", F.struct(

@@ -72,7 +72,11 @@ def param_grid(outer: DataFrame, outer_col: str, inner: DataFrame, inner_col: st
 
     The inner set is packed into one array (a scalar subquery) and exploded, so
     no join of the two tables is needed."""
-    inner_vals = inner.select(F.sort_array(F.collect_set(inner_col))).scalar()
+    from quiver.operators.ranking import require_bounded
+
+    distinct_inner = inner.select(inner_col).distinct()
+    require_bounded(distinct_inner, 10_000, "parameter grid inner values")
+    inner_vals = distinct_inner.select(F.sort_array(F.collect_list(inner_col))).scalar()
     o = outer.select(outer_col).distinct()
     prod = o.select(outer_col, F.posexplode(inner_vals).alias("_ip", inner_col))
     from quiver.operators.ranking import rank_by

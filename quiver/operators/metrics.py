@@ -97,6 +97,9 @@ def confusion_matrix(df: DataFrame, pred_col: str, label_col: str, classes: Data
 
     ``classes`` (class_id, class_name) is the class dimension; its list is a
     scalar subquery, so the grid needs no join of the table with itself."""
+    from quiver.operators.ranking import require_bounded
+
+    require_bounded(classes, 10_000, "class list")
     names = classes.select(F.sort_array(F.collect_list(F.struct("class_id", "class_name")))).scalar()
     grid = classes.select(F.col("class_id").alias("true_id"), F.col("class_name").alias("true_class"),
                           F.explode(names).alias("_p")).select(

@@ -30,6 +30,13 @@ def fits_one_task(df: DataFrame, max_rows: int = SINGLE_TASK_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def require_bounded(df: DataFrame, max_rows: int, what: str) -> None:
+    """Refuse to pack ``df`` into one value when it is larger than ``max_rows``
+    (lists shipped as scalar subqueries must have a measured bound)."""
+    if df.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"{what}: more than {max_rows} rows; not packable into one value")
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: later branches read one fixed
     copy (deterministic range sampling, no recomputation, survives executor loss)."""
