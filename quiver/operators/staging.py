@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ARTICLE_INT_COLS = ["article_id", "product_code", "product_type_no", "graphical_appearance_no",
@@ -68,17 +68,20 @@ def dedup_transactions(tx: DataFrame) -> DataFrame:
     change: each takes the values of the day's last row. The engine leaves the
     order among same-day peers open; here it is (price, sales_channel_id), the
     only columns left after grouping, so the result is deterministic.
-    Both steps run after one shuffle on (article, customer, day).
+
+    One aggregate keyed on (article, customer, day) does both steps: the
+    distinct (price, channel) pairs are a ``collect_set`` (deduplicated
+    map-side before the single shuffle) and the day's last peer is their
+    maximum; the set is exploded back to one row per distinct pair.
     """
     keys = ["article_id", "customer_id", "t_dat"]
-    distinct_rows = (tx.select("article_id", "customer_id", "price", "sales_channel_id", "t_dat")
-                       .repartition(*keys)
-                       .dropDuplicates())
-    last_peer = F.max(F.struct("price", "sales_channel_id")).over(Window.partitionBy(*keys))
-    return distinct_rows.select(
+    pair = F.struct("price", "sales_channel_id")
+    per_day = tx.groupBy(*keys).agg(F.collect_set(pair).alias("_pairs"), F.max(pair).alias("_last"))
+    rows = per_day.select(*keys, "_last", F.explode("_pairs").alias("_p"))
+    return rows.select(
         "article_id", "customer_id",
-        last_peer["price"].alias("price"),
-        last_peer["sales_channel_id"].alias("sales_channel_id"),
+        F.col("_last.price").alias("price"),
+        F.col("_last.sales_channel_id").alias("sales_channel_id"),
         "t_dat",
     )
 
