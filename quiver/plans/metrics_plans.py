@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from quiver.functions.common import r6
 from quiver.operators import metrics
