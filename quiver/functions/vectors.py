@@ -17,9 +17,10 @@ def norm(a) -> Column:
 
 
 def unit(a) -> Column:
+    """Vector scaled to length 1; a zero vector stays zero (no division by zero)."""
     a = F.col(a) if isinstance(a, str) else a
     n = norm(a)
-    return F.transform(a, lambda x: x / n)
+    return F.when(n == 0, a).otherwise(F.transform(a, lambda x: x / n))
 
 
 def scale(a, factor: float) -> Column:
@@ -77,7 +78,7 @@ def centroid_scores(items: DataFrame, id_col: str, vec_col: str, label_col: str,
     ex = u.select(F.col(id_col), F.col(label_col).alias("truth"), "_u", F.explode(packed).alias("_c"))
     scored = ex.select(id_col, "truth", F.struct(
         F.col("_c.cls").alias("cls"),
-        F.round(dot("_u", F.col("_c.c")) / norm(F.col("_c.c")), decimals).alias("score")).alias("_s"))
+        F.round(F.try_divide(dot("_u", F.col("_c.c")), norm(F.col("_c.c"))), decimals).alias("score")).alias("_s"))
     return scored.select(id_col, "truth", "_s.cls", "_s.score")
 
 

@@ -56,7 +56,7 @@ def fold_majority_scores(df: DataFrame, label_col: str, fold_col: str, k: int) -
         F.sum("_c").alias("_n"))
     hits = g.select(fold_col, F.col(label_col).alias("majority"), "_c")
     return per.join(hits, [fold_col, "majority"]).select(fold_col, "majority",
-                                                         (F.col("_c") / F.col("_n")).alias("score"))
+                                                         F.try_divide(F.col("_c"), F.col("_n")).alias("score"))
 
 
 def fold_stats(scores: DataFrame, score_col: str = "score", scale: float = 100.0, decimals: int = 3) -> DataFrame:

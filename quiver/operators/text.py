@@ -82,5 +82,7 @@ def fit_naive_bayes(docs: DataFrame, id_col: str, text_col: str, label_col: str,
     tot0 = full.select(F.sum("n0")).scalar()
     w = full.select("index", (F.log((F.col("n1") + alpha) / (tot1 + alpha * v)) -
                               F.log((F.col("n0") + alpha) / (tot0 + alpha * v))).alias("w"))
-    prior = lab.agg(F.log(F.count_if(F.col("_y") == 1) / F.count_if(F.col("_y") != 1)).alias("bias"))
+    # log prior ratio; NULL (then 0) when one class is absent
+    prior = lab.agg(F.coalesce(F.log(F.try_divide(F.count_if(F.col("_y") == 1), F.count_if(F.col("_y") != 1))),
+                               F.lit(0.0)).alias("bias"))
     return NaiveBayes(vocab, w.checkpoint(eager=True), prior.checkpoint(eager=True))

@@ -97,3 +97,17 @@ def test_learning_queries_shapes(spark):
     assert auc.roc_auc is None or 0.0 <= auc.roc_auc <= 1.0
     p2 = q["project_2d"](spark, SF)
     assert p2.columns == ["item_id", "x", "y"] and p2.count() > 0
+
+
+def test_zero_vector_and_single_class_edges(spark):
+    from quiver.functions import vectors as vf
+    from quiver.operators import text
+
+    z = spark.createDataFrame([([0.0, 0.0],)], "v array<double>").select(vf.unit("v").alias("u")).collect()[0]
+    assert z.u == [0.0, 0.0]
+    docs = spark.createDataFrame([(1, "good good fine", 1), (2, "good great", 1)], "doc_id long, review string, y int")
+    vocab = text.fit_vocabulary(docs, "doc_id", "review", min_df=0.0, max_df=1.0)
+    model = text.fit_naive_bayes(docs, "doc_id", "review", "y", vocab)
+    assert model.bias.collect()[0].bias == 0.0
+    probs = [r.prob for r in model.score(docs, "doc_id", "review").collect()]
+    assert all(0.0 < p < 1.0 for p in probs)
