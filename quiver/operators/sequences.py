@@ -58,3 +58,31 @@ def playlist_sequences(playlists: DataFrame, min_len: int = 3) -> DataFrame:
 def flatten_items(df: DataFrame, list_col: str, item_name: str = "item") -> DataFrame:
     """One bag of items from a list column."""
     return df.select(F.explode(list_col).alias(item_name))
+
+
+def sequence_positions(df: DataFrame, key: str, order_col: str, pos_col: str = "pos") -> DataFrame:
+    """1-based position of every row inside its key, by ``order_col`` (unique per key).
+
+    Computed as a running count over range partitions of (key, order), so a
+    key holding a large share of all rows is split across tasks instead of
+    being numbered by one window."""
+    from quiver.operators.ranking import running_sums
+
+    d = df.withColumn("_one", F.lit(1))
+    r = running_sums(d, order_col, ["_one"], group_cols=[key])
+    return r.withColumn(pos_col, (F.col("before__one") + 1).cast("bigint")).drop("_one", "before__one")
+
+
+def ordered_chunks(df: DataFrame, key: str, order_col: str, value_cols: list[str],
+                   chunk_size: int = 100_000) -> DataFrame:
+    """D04 in bounded pieces: the ordered list of each key cut into consecutive
+    chunks of at most ``chunk_size`` elements, one row per (key, chunk).
+
+    Concatenating a key's chunks by ``chunk`` gives exactly ``ordered_lists``;
+    no array (and no task's collect) grows beyond ``chunk_size`` elements, so
+    a key with billions of rows stays buildable."""
+    pos = sequence_positions(df, key, order_col)
+    pos = pos.withColumn("chunk", F.floor((F.col("pos") - 1) / chunk_size).cast("bigint"))
+    s = F.sort_array(F.collect_list(F.struct("pos", *value_cols)))
+    out = pos.groupBy(key, "chunk").agg(s.alias("_seq"))
+    return out.select(key, "chunk", *[F.transform("_seq", _field(c)).alias(f"{c}_list") for c in value_cols])

@@ -26,3 +26,15 @@ def test_playlist_sequences_length_filter_and_leave_last_out(spark):
     out = sequences.playlist_sequences(df).collect()
     assert [r.playlist_id for r in out] == ["p"]  # length 2 is dropped (HAVING len > 2)
     assert out[0].track_test_x == ["t1", "t2"] and out[0].track_test_y == "t3"
+
+
+def test_ordered_chunks_concatenate_to_ordered_lists(spark):
+    rows = [("hot", i, f"t{i}") for i in range(500)] + [("cold", i, f"c{i}") for i in range(3)]
+    df = spark.createDataFrame(rows, "k string, row_id int, v string")
+    chunks = sequences.ordered_chunks(df, "k", "row_id", ["v"], chunk_size=64).collect()
+    joined = {}
+    for r in sorted(chunks, key=lambda r: (r.k, r.chunk)):
+        joined.setdefault(r.k, []).extend(r.v_list)
+    assert joined["hot"] == [f"t{i}" for i in range(500)]
+    assert joined["cold"] == ["c0", "c1", "c2"]
+    assert max(len(r.v_list) for r in chunks) <= 64
