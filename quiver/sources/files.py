@@ -90,8 +90,7 @@ def read_annotation_json(spark: SparkSession, path: str, whole_file: bool = Fals
     ``whole_file=True`` reads each file as one JSON document (the original
     one-object-per-class layout); otherwise each line is an object. Classes
     without a file are simply absent; ``targets`` keeps only the listed ones."""
-    reader = spark.read.option("wholetext", "true") if whole_file else spark.read
-    raw = reader.text(path).select("value", F.col("_metadata.file_path").alias("_path"))
+    raw = spark.read.text(path, wholetext=whole_file).select("value", F.col("_metadata.file_path").alias("_path"))
     folder = F.regexp_extract("_path", r"target=([^/]+)/", 1)
     stem = F.regexp_extract("_path", r"([^/]+)\.json$", 1)
     target = F.when(folder != "", F.url_decode(folder)).otherwise(stem)

@@ -36,3 +36,31 @@ def test_accent_folding_and_tokens(spark):
     df = spark.createDataFrame([("Élève CAFÉ, straße a b2 x_y",)], "t string")
     assert df.select(tokens("t").alias("k")).collect()[0].k == ["eleve", "cafe", "strae", "b2", "x_y"]
     assert F is not None
+
+
+def test_annotation_json_whole_file_per_class(spark):
+    import json
+
+    d = tempfile.mkdtemp(prefix="quiver-ann-")
+    docs = {
+        "call": {"img1": {"bboxes": [[0.1, 0.2, 0.3, 0.4]], "labels": ["call"], "leading_hand": "right",
+                          "user_id": "u1"},
+                 "img2": {"bboxes": [[0.0, 0.0, 0.5, 0.5], [0.5, 0.5, 0.1, 0.1]], "labels": ["call", "no_gesture"],
+                          "leading_hand": "left", "user_id": "u2"}},
+        "like": {"img3": {"bboxes": [], "labels": [], "leading_hand": "left", "user_id": "u1"}},
+    }
+    for target, obj in docs.items():
+        with open(os.path.join(d, f"{target}.json"), "w") as f:
+            json.dump(obj, f, indent=2)  # a multi-line document: needs whole-file reading
+    out = files.read_annotation_json(spark, d, whole_file=True, targets=["call", "like", "mute"]).collect()
+    got = sorted((r.name, r.target, len(r.labels)) for r in out)
+    assert got == [("img1.jpg", "call", 1), ("img2.jpg", "call", 2), ("img3.jpg", "like", 0)]
+
+
+def test_list_files_extension_case_sensitive(spark):
+    d = tempfile.mkdtemp(prefix="quiver-files-")
+    for name in ["a.jpg", "b.JPG", "c.png", "d.txt"]:
+        with open(os.path.join(d, name), "wb") as f:
+            f.write(b"x")
+    names = sorted(r.name for r in files.list_files(spark, d).collect())
+    assert names == ["a.jpg", "c.png"]
