@@ -122,10 +122,3 @@ def last_record_per_key(df: DataFrame, key: str, order_cols: list[str]) -> DataF
     others = [c for c in df.columns if c != key]
     rec = F.max_by(F.struct(*others), F.struct(*order_cols))
     return df.groupBy(key).agg(rec.alias("_r")).select(key, "_r.*")
-
-
-def first_record_per_key(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
-    """First-write-wins row per key under a total order."""
-    others = [c for c in df.columns if c != key]
-    rec = F.min_by(F.struct(*others), F.struct(*order_cols))
-    return df.groupBy(key).agg(rec.alias("_r")).select(key, "_r.*")

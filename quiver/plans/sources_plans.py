@@ -84,3 +84,14 @@ def q_feature_rows(spark, sf):
     """Item arrays as ML feature vectors with a double label."""
     return files.feature_rows(read_table(spark, sf, "embeddings"), "embedding", "label")
 
+
+
+@plan("image_dims")
+def q_image_dims(spark, sf):
+    """Every item vector written as an 8x8 grayscale PNG, the files listed
+    by extension and decoded by Spark's image source for width and height."""
+    path = shared_path(spark, "vector-images")
+    e = read_table(spark, sf, "embeddings")
+    files.write_vector_images(e, "vec_id", "embedding", path, 8, 8)
+    listed = files.list_files(spark, path, extensions=(".png",)).select("name")
+    return files.image_dims(spark, path).join(listed, "name", "left_semi")

@@ -128,3 +128,43 @@ def feature_rows(df: DataFrame, array_col: str, label_col: str, scale: float | N
     if scale is not None:
         arr = F.transform(arr, lambda x: x * F.lit(scale))
     return df.select(array_to_vector(arr).alias("features"), F.col(label_col).cast("double").alias("label"))
+
+
+def png_bytes(pixels, width: int, height: int) -> bytes:
+    """A grayscale 8-bit PNG of ``pixels`` (row-major, values 0..255)."""
+    import struct
+    import zlib
+
+    def chunk(kind: bytes, data: bytes) -> bytes:
+        body = kind + data
+        return struct.pack(">I", len(data)) + body + struct.pack(">I", zlib.crc32(body) & 0xFFFFFFFF)
+
+    rows = b"".join(b"\x00" + bytes(pixels[r * width:(r + 1) * width]) for r in range(height))
+    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0))
+            + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b""))
+
+
+def write_vector_images(df: DataFrame, id_col: str, vec_col: str, path: str, width: int, height: int) -> int:
+    """Each vector as a ``width`` x ``height`` grayscale PNG (min-max scaled) named
+    ``<id>.png`` under ``path`` (a folder every executor can reach). Files are
+    written by the tasks themselves; returns the number written."""
+    import os
+
+    local = path[len("file:"):] if path.startswith("file:") else path
+
+    def write(batches):
+        import numpy as np
+        import pandas as pd
+
+        os.makedirs(local, exist_ok=True)
+        for pdf in batches:
+            for key, vec in zip(pdf[id_col], pdf[vec_col]):
+                v = np.asarray(vec, dtype=np.float64)[: width * height]
+                lo, hi = v.min(), v.max()
+                px = np.zeros_like(v) if hi == lo else (v - lo) / (hi - lo) * 255.0
+                with open(os.path.join(local, f"{key}.png"), "wb") as f:
+                    f.write(png_bytes([int(round(p)) for p in px], width, height))
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    out = df.select(id_col, vec_col).mapInPandas(write, "n long")
+    return out.agg(F.sum("n")).collect()[0][0] or 0

@@ -64,3 +64,35 @@ def test_list_files_extension_case_sensitive(spark):
             f.write(b"x")
     names = sorted(r.name for r in files.list_files(spark, d).collect())
     assert names == ["a.jpg", "c.png"]
+
+
+def _png(path, width, height):
+    import struct
+    import zlib
+
+    def chunk(kind, data):
+        body = kind + data
+        return struct.pack(">I", len(data)) + body + struct.pack(">I", zlib.crc32(body) & 0xFFFFFFFF)
+
+    raw = b"".join(b"\x00" + b"\x80\x40\x20" * width for _ in range(height))
+    png = (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0))
+           + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b""))
+    with open(path, "wb") as f:
+        f.write(png)
+
+
+def test_image_dims_reads_width_and_height(spark):
+    d = tempfile.mkdtemp(prefix="quiver-img-")
+    _png(os.path.join(d, "a.png"), 7, 5)
+    _png(os.path.join(d, "b.png"), 3, 9)
+    got = sorted((r.name, r.width, r.height) for r in files.image_dims(spark, d).collect())
+    assert got == [("a.png", 7, 5), ("b.png", 3, 9)]
+
+
+def test_membership_filter_semi_and_anti(spark):
+    from quiver.operators.sampling import membership_filter
+
+    df = spark.createDataFrame([("u1", 1), ("u2", 2), ("u3", 3)], "user string, v int")
+    members = spark.createDataFrame([("u1",), ("u1",), ("u3",)], "user string")
+    assert sorted(r.v for r in membership_filter(df, members, "user").collect()) == [1, 3]
+    assert [r.v for r in membership_filter(df, members, "user", keep=False).collect()] == [2]
