@@ -66,8 +66,8 @@ def histogram(values: DataFrame, col: str, bins: int = 50) -> DataFrame:
     [v - 0.5, v + 0.5] as NumPy does. Every bin is returned, empty ones with 0.
     """
     x = F.col(col).cast("double")
-    lo0 = values.select(F.min(x)).scalar()
-    hi0 = values.select(F.max(x)).scalar()
+    mm = values.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()  # one job
+    lo0, hi0 = mm["lo"], mm["hi"]
     same = hi0 == lo0
     lo = F.when(same, lo0 - 0.5).otherwise(lo0)
     hi = F.when(same, hi0 + 0.5).otherwise(hi0)
