@@ -10,6 +10,10 @@ is bounded by construction, not by the data).
 two rounds, first inside (group, spread bucket) cells, then over at most
 ``n * buckets`` candidates per group, so one hot group never lands whole in
 one task.
+
+``rank_by`` and ``running_sums``: rank / exclusive running sums under any
+order, over range partitions of a pinned input, with a measured single-task
+path for small inputs.
 """
 
 from __future__ import annotations
@@ -132,7 +136,7 @@ def running_sums(df: DataFrame, order_col: str, value_cols: list[str], group_col
     """Exclusive running sums ``sum(v) over (partition by g order by o rows
     unbounded preceding .. 1 preceding)`` for each ``v``, spread over range
     partitions: partition-local windows plus the totals of earlier partitions
-    of the same group (one row per (group, partition), broadcast).
+    of the same group (one row per (group, partition)).
 
     ``order_col`` must be unique within a group (aggregate to distinct values first).
     Adds ``before_<v>`` columns.
@@ -157,6 +161,9 @@ def running_sums(df: DataFrame, order_col: str, value_cols: list[str], group_col
     offsets = totals.select(*group_cols, "_sp",
                             *[F.coalesce(F.sum(f"_t_{v}").over(w2), F.lit(0)).alias(f"_o_{v}")
                               for v in value_cols])
-    out = local.join(F.broadcast(offsets), [*group_cols, "_sp"])
+    # without groups the offsets table has one row per partition (a proven
+    # bound, broadcast); with groups it grows with the group count: AQE decides
+    offsets = offsets if group_cols else F.broadcast(offsets)
+    out = local.join(offsets, [*group_cols, "_sp"])
     out = out.withColumns({f"before_{v}": F.col(f"_l_{v}") + F.col(f"_o_{v}") for v in value_cols})
     return out.drop("_sp", *[f"_l_{v}" for v in value_cols], *[f"_o_{v}" for v in value_cols])
