@@ -61,3 +61,24 @@ def test_log_loss_clipping(spark):
     r = metrics.binary_log_loss(df, "p", "y").collect()[0]
     assert abs(r.log_loss - (-__import__("math").log(1e-7))) < 1e-6
     assert F is not None
+
+
+def test_distinct_counts_exact_and_approx(spark):
+    from quiver.operators import profile
+
+    df = spark.range(20000).select((F.col("id") % 5000).alias("a"), (F.col("id") % 7).alias("b"))
+    exact = profile.distinct_counts(df, ["a", "b"]).collect()[0]
+    assert (exact.n_a, exact.n_b) == (5000, 7)
+    approx = profile.distinct_counts(df, ["a", "b"], approx=True, rsd=0.02).collect()[0]
+    assert abs(approx.n_a - 5000) / 5000 < 0.08 and approx.n_b == 7
+
+
+def test_best_by_metric_first_wins_and_strict_floor(spark):
+    from quiver.operators import profile
+
+    df = spark.createDataFrame([("f", 1, 0.9), ("f", 2, 0.9), ("g", 3, 0.0), ("g", 4, 0.0)],
+                               "flow string, run_id int, m double")
+    best = {r.flow: r.best_run_id for r in profile.best_by_metric(df, ["flow"], "run_id", "m", "run_id").collect()}
+    assert best == {"f": 1, "g": 3}  # ties: the first run wins
+    floored = profile.best_by_metric(df, ["flow"], "run_id", "m", "run_id", floor=0.0).collect()
+    assert [r.flow for r in floored] == ["f"]  # all-zero scores give no winner
