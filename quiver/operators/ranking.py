@@ -94,7 +94,8 @@ def top_n_per_group(df: DataFrame, group_cols: list[str], order_cols: list, n: i
     the top ``n`` of each (group, bucket) cell; round two ranks the survivors.
     """
     order = _order_exprs(order_cols)
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(buckets))
+    hashable = [c for c, t in df.dtypes if not t.startswith("map")]  # maps cannot be hashed
+    spread = F.pmod(F.xxhash64(*hashable), F.lit(buckets))
     d = df.withColumn("_tb", spread)
     w1 = Window.partitionBy(*group_cols, "_tb").orderBy(*order)
     cand = d.withColumn("_tr", F.row_number().over(w1)).filter(F.col("_tr") <= n)
