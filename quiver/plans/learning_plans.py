@@ -27,6 +27,18 @@ def q_item_embeddings(spark, sf):
     return learn.item_embeddings(train, "track_sequence", vector_size=48, window=10, min_count=3)
 
 
+@plan("w2v_hit_rate")
+def q_w2v_hit_rate(spark, sf):
+    """L01+L02+M09: item vectors trained on the train split's sequences, then
+    next-track prediction (10 nearest, cosine) for every validation sequence
+    and its hit rate."""
+    s = _seq_split(spark, sf)
+    vec = learn.item_embeddings(s.filter(F.col("split") == "train"), "track_sequence",
+                                vector_size=48, window=10, min_count=3).checkpoint(eager=True)
+    nt = knn.next_track(s.filter(F.col("split") == "validate"), vec, k=10)
+    return metrics.hit_rate(nt, "predictions", "track_test_y")
+
+
 @plan("grid_results")
 def q_grid_results(spark, sf):
     """Grid over the vector-space min_count (3, 5, 10): the space
