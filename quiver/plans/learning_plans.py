@@ -84,6 +84,28 @@ def q_als_topk(spark, sf):
     return learn.als_topk(train, test_users, "user_code", "item_code", k=10)
 
 
+@plan("als_recall_ndcg")
+def q_als_recall_ndcg(spark, sf):
+    """L05+D13+M10: implicit ALS fitted on coded train purchases; its top-10 for
+    every test shopper scored with recall@10 and NDCG@10 against the shopper's
+    first test purchase (shoppers unseen in training count as misses)."""
+    from quiver.operators import recs
+
+    s = split_table(spark, sf, ["article_id", "customer_id", "t_dat", "split", "price", "sales_channel_id"])
+    cats = features.fit_many(s, ["customer_id", "article_id"])
+    cu, ca = cats["customer_id"], cats["article_id"]
+    coded = ca.transform(cu.transform(s, "user_code"), "item_code").withColumns(
+        {"user_code": F.col("user_code").cast("int"), "item_code": F.col("item_code").cast("int")})
+    train = coded.filter(F.col("split") == "train")
+    test = coded.filter(F.col("split") == "test").select("user_code", "item_code", "t_dat", "article_id", "price",
+                                                        "sales_channel_id")
+    first = recs.first_per_user(test, "user_code", ["t_dat", "article_id", "price", "sales_channel_id"])
+    top = learn.als_topk(train, first, "user_code", "item_code", k=10)
+    scored = first.join(top, "user_code", "left").withColumn(
+        "items", F.coalesce("items", F.array().cast("array<int>")))
+    return metrics.recall_ndcg(scored, "items", "item_code", 10)
+
+
 @plan("text_classifier")
 def q_text_classifier(spark, sf):
     """Bag-of-words logistic regression on the train reviews; AUC on validation."""
