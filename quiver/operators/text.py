@@ -27,10 +27,12 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str, stop_words=None) ->
 
 
 def fit_vocabulary(docs: DataFrame, id_col: str, text_col: str, min_df: float = 0.005,
-                   max_df: float = 0.75, max_features: int | None = 750, stop_words=None) -> DataFrame:
+                   max_df: float = 0.75, max_features: int | None = 750, stop_words=None,
+                   counts: DataFrame | None = None) -> DataFrame:
     """Terms with min_df*n <= df <= max_df*n, top ``max_features`` by
-    corpus count (ties by term), indexed alphabetically from 0."""
-    counts = term_counts(docs, id_col, text_col, stop_words)
+    corpus count (ties by term), indexed alphabetically from 0. ``counts``
+    (from :func:`term_counts`) avoids tokenising the documents again."""
+    counts = counts if counts is not None else term_counts(docs, id_col, text_col, stop_words)
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("cnt").alias("tf"))
     kept = stats.filter((F.col("df") >= F.lit(min_df) * n_docs) & (F.col("df") <= F.lit(max_df) * n_docs))
@@ -70,8 +72,12 @@ class NaiveBayes:
 
 
 def fit_naive_bayes(docs: DataFrame, id_col: str, text_col: str, label_col: str, vocab: DataFrame,
-                    alpha: float = 1.0) -> NaiveBayes:
-    c = bow_counts(docs, id_col, text_col, vocab)
+                    alpha: float = 1.0, counts: DataFrame | None = None) -> NaiveBayes:
+    """Fit on labelled documents; ``counts`` (from :func:`term_counts`) skips re-tokenising."""
+    if counts is not None:
+        c = counts.join(vocab.select("term", "index"), "term").select("doc_id", "index", F.col("cnt").alias("count"))
+    else:
+        c = bow_counts(docs, id_col, text_col, vocab)
     lab = docs.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("_y"))
     per = (c.join(lab, "doc_id").groupBy("index")
             .agg(F.sum(F.when(F.col("_y") == 1, F.col("count")).otherwise(0)).alias("n1"),

@@ -101,8 +101,9 @@ SELECT round((SELECT a FROM auc), 6) AS model_auc, 0.5::DOUBLE AS base_auc,
 def fitted_model(spark, sf):
     s = _split_reviews(spark, sf)
     train = s.filter(F.col("split") == "train")
-    vocab = text.fit_vocabulary(train, "doc_id", "review")
-    return s, text.fit_naive_bayes(train, "doc_id", "review", "labels", vocab)
+    counts = text.term_counts(train, "doc_id", "review").checkpoint(eager=True)  # tokenised once
+    vocab = text.fit_vocabulary(train, "doc_id", "review", counts=counts)
+    return s, text.fit_naive_bayes(train, "doc_id", "review", "labels", vocab, counts=counts)
 
 
 @plan("deploy_gate", _GATE_SQL)
