@@ -38,3 +38,11 @@ def test_selected_queries_run_on_smallest_data(spark, name):
     import __spark_entry__ as E
 
     assert E.queries()[name](spark, SF).count() > 0
+
+
+def test_every_plan_documented_and_oracles_registered():
+    from quiver.plans.registry import all_plans
+
+    plans = all_plans()
+    assert all((p.fn.__doc__ or "").strip() for p in plans.values())
+    assert all(p.sql is None or p.sql.strip() for p in plans.values())
