@@ -83,7 +83,7 @@ def histogram(values: DataFrame, col: str, bins: int = 50) -> DataFrame:
 
 
 def contract_checks(df: DataFrame, model: str, col: str) -> DataFrame:
-    """Dbt-style unique and not_null tests; failures = offending values/rows."""
+    """Unique and not_null contract tests; failures = offending values (unique) or rows (not_null)."""
     dup_values = (df.filter(F.col(col).isNotNull()).groupBy(col).count()
                     .filter(F.col("count") > 1))
     n_dup = dup_values.select(F.count(F.lit(1))).scalar()
