@@ -29,6 +29,11 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Fewer rows per Arrow batch than Spark's 10,000, since texts may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def pin(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage is cut, several
     readers see the same rows, and lost executors do not lose them."""

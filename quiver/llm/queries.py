@@ -36,3 +36,19 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quiver.llm.exact_dedup import exact_dedup
 
     return exact_dedup(read_table(spark, sf_dir, "documents"), digest_all=True)
+
+
+@query("op3_packing")
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum-of-squares packing of all documents into sequences of at most 1024 ids."""
+    from quiver.llm.packing import pack
+
+    return pack(read_table(spark, sf_dir, "documents"), size=1024, end_id=0)
+
+
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as Huffman-coded token files in id order and read back."""
+    from quiver.llm.huffman import read_token_files, write_token_files
+
+    return read_token_files(spark, write_token_files(read_table(spark, sf_dir, "documents"), end_id=2))
