@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quiver.session import shared_path
 
-NULL_KEY = -(2 ** 63)  # stands for a null id, so that it sorts first and joins with itself
+NULL_KEY = 2 ** 63 - 1  # stands for a null id, so that it sorts last and joins with itself
 
 #: Text per Python step: Arrow batches are cut so that the arrays built from one stay bounded.
 STEP_BYTES = 8_000_000
@@ -168,27 +168,26 @@ def shingle_sets(words: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.nda
     """Distinct ``n``-word shingle hashes of each text, ascending, flat, with offsets.
     A text of 1 to n-1 words has its whole word sequence as one shingle."""
     counts = np.diff(offsets)
-    docs = len(counts)
     grams = ngram_hashes(words, n)
-    owner = np.repeat(np.arange(docs), counts)
-    if len(grams):
-        last = np.repeat(offsets[1:], counts)[: len(grams)]
-        inside = np.arange(len(grams)) + n <= last
-        owner_g, grams = owner[: len(grams)][inside], grams[inside]
-    else:
-        owner_g = np.zeros(0, np.int64)
-    short = np.flatnonzero((counts > 0) & (counts < n))
-    if len(short):
-        extra = np.array([mix64(np.uint64([_short_hash(words[offsets[i]: offsets[i + 1]])]))[0] for i in short],
-                         dtype=np.uint64)
-        grams, owner_g = np.concatenate([grams, extra]), np.concatenate([owner_g, short])
-    order = np.lexsort((grams, owner_g))
-    grams, owner_g = grams[order], owner_g[order]
-    if len(grams):
-        new = np.ones(len(grams), bool)
-        new[1:] = (grams[1:] != grams[:-1]) | (owner_g[1:] != owner_g[:-1])
-        grams, owner_g = grams[new], owner_g[new]
-    return grams, np.concatenate([[0], np.cumsum(np.bincount(owner_g, minlength=docs))]).astype(np.int64)
+    sizes = np.where(counts >= n, counts - n + 1, (counts > 0).astype(np.int64))
+    ends = np.cumsum(sizes)
+    flat = np.empty(int(ends[-1]) if len(ends) else 0, np.uint64)
+    for i, (size, end) in enumerate(zip(sizes.tolist(), ends.tolist())):
+        if not size:
+            continue
+        a = int(offsets[i])
+        part = flat[end - size: end]
+        if counts[i] >= n:
+            part[:] = grams[a: a + size]
+            part.sort()
+        else:
+            part[0] = _short_hash(words[a: a + int(counts[i])])
+    if not len(flat):
+        return flat, np.zeros(len(counts) + 1, np.int64)
+    new = np.ones(len(flat), bool)
+    new[1:] = flat[1:] != flat[:-1]
+    new[(ends - sizes)[sizes > 0]] = True
+    return flat[new], np.concatenate([[0], np.cumsum(new)[ends - 1] * (ends > 0)]).astype(np.int64)
 
 
 def _short_hash(words: np.ndarray) -> int:

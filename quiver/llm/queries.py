@@ -52,3 +52,30 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quiver.llm.huffman import read_token_files, write_token_files
 
     return read_token_files(spark, write_token_files(read_table(spark, sf_dir, "documents"), end_id=2))
+
+
+#: Words of the texts with A-Z folded, and distinct 4-word shingles; links over all pairs that share one.
+OP5_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i+3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT d.doc_id, count(g) AS n FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id),
+l AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b USING (g) JOIN n p ON p.doc_id = a.doc_id
+  JOIN n q ON q.doc_id = b.doc_id WHERE a.doc_id <> b.doc_id
+  GROUP BY x, y, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))),
+r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y)
+SELECT r.x AS doc_id, n.n AS n_shingles, min(r.y) AS component_id, r.x = min(r.y) AS kept
+FROM r JOIN n ON n.doc_id = r.x GROUP BY r.x, n.n
+""".replace("\\\\", "\\")
+
+
+@query("op5_near_dedup", OP5_SQL)
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents at 4-word shingle similarity of 80 % or more."""
+    from quiver.llm.near_dedup import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "documents"), words=4, percent=80)
