@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -44,6 +46,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -57,9 +60,28 @@ def apply_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
         except Exception:  # static conf on an already-running session
             pass
+    ship_package(spark)
     ensure_checkpoint_dir(spark)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, so that they can import it wherever the
+    driver was started. Spark copies the archive to the executors; done once per context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_quiver_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="quiver-ship-"), "quiver.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith((".py", ".txt")):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("quiver", os.path.relpath(path, root)))
+    sc.addPyFile(archive)
+    sc._quiver_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
