@@ -59,14 +59,31 @@ def bit_filter(keys: Column, of: DataFrame, log2_bits: int = 22) -> Column:
     """The scalar value of a filter over ``of``'s column ``keys``: 2**log2_bits bits as an
     array of longs. Its size is fixed by the parameter, whatever the number of keys; a
     fuller filter only lets more rows through, and the callers check exactly afterwards."""
-    bit = of.select(_bit_of(keys, log2_bits).alias("_b")).distinct()
+    return _packed_bits(of.select(_bit_of(keys, log2_bits).alias("_b")), log2_bits).scalar()
+
+
+def hashed_key_bits(keys: Column, of: DataFrame, log2_bits: int = 22) -> np.ndarray:
+    """The same filter over keys that are hashes already, for use in Python tasks: bit
+    ``key & (2**log2_bits - 1)`` of a uint64 array, whose size the parameter fixes."""
+    bits = of.select(F.pmod(keys, F.lit(1 << log2_bits)).alias("_b"))
+    return np.array(_packed_bits(bits, log2_bits).head()[0], np.int64).view(np.uint64)
+
+
+def among_bits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which uint64 ``keys`` may be in the filter."""
+    at = keys & np.uint64(len(bits) * 64 - 1)
+    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _packed_bits(bits: DataFrame, log2_bits: int) -> DataFrame:
+    bit = bits.distinct()
     words = bit.groupBy(F.shiftright("_b", 6).cast("int").alias("_w")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(_b & 63 as int))")).alias("_v"))
-    every = of.sparkSession.range(1 << (log2_bits - 6)).select(F.col("id").cast("int").alias("_w"))
+    every = bits.sparkSession.range(1 << (log2_bits - 6)).select(F.col("id").cast("int").alias("_w"))
     packed = (every.join(words, "_w", "left")
               .groupBy().agg(F.sort_array(F.collect_list(F.struct("_w", F.coalesce("_v", F.lit(0)).alias("_v"))))
                              .alias("_a")))
-    return packed.select(F.col("_a._v").alias("_f")).scalar()
+    return packed.select(F.col("_a._v").alias("_f"))
 
 
 def maybe_in(filter_value: Column, key: Column, log2_bits: int = 22) -> Column:

@@ -19,6 +19,31 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+#: Words with A-Z folded; distinct 5-word shingles of items that occur in the document.
+OP1_SQL = r"""
+WITH a AS (
+  SELECT 0 AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+w AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM a),
+s AS (
+  SELECT DISTINCT kind, id, array_to_string(w[i:i+4], ' ') AS g
+  FROM (SELECT kind, id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
+n AS (SELECT id, count(*) AS n FROM s WHERE kind = 1 GROUP BY id)
+SELECT d.id AS doc_id, t.id AS item_id, n.n AS item_shingles, count(*) AS shared, count(*) / n.n AS containment
+FROM s d JOIN s t ON d.g = t.g AND d.kind = 0 AND t.kind = 1 JOIN n ON n.id = t.id
+GROUP BY d.id, t.id, n.n HAVING 100 * count(*) >= 80 * n.n
+"""
+
+
+@query("op1_decontaminate", OP1_SQL)
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold 80 % or more of a benchmark item's 5-word shingles."""
+    from quiver.llm.decontaminate import contaminated
+
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 OP2_SQL = r"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS cp,
