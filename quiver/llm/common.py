@@ -66,7 +66,8 @@ def hashed_key_bits(keys: Column, of: DataFrame, log2_bits: int = 22) -> np.ndar
     """The same filter over keys that are hashes already, for use in Python tasks: bit
     ``key & (2**log2_bits - 1)`` of a uint64 array, whose size the parameter fixes."""
     bits = of.select(F.pmod(keys, F.lit(1 << log2_bits)).alias("_b"))
-    return np.array(_packed_bits(bits, log2_bits).head()[0], np.int64).view(np.uint64)
+    packed = _packed_bits(bits, log2_bits).toArrow().column(0).combine_chunks()
+    return packed.values.to_numpy().view(np.uint64).copy()
 
 
 def among_bits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:

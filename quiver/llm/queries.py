@@ -104,3 +104,30 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quiver.llm.near_dedup import near_duplicates
 
     return near_duplicates(read_table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, len(w) AS n_words, unnest(range(1, len(w) - 18)) AS i, w FROM d WHERE len(w) >= 20),
+h AS (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(w[i:i+19], ' ') ORDER BY doc_id, i) AS k FROM p),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM h WHERE k > 1),
+x AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+k AS (
+  SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.i) FILTER (g.i IS NULL) AS kept, count(g.i) AS n_removed,
+         count(*) AS n_words
+  FROM x LEFT JOIN g ON g.doc_id = x.doc_id AND g.i = x.i GROUP BY x.doc_id)
+SELECT d.doc_id, coalesce(k.n_words, 0) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+       sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
+@query("op10_substring_dedup", OP10_SQL)
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of 20-word windows that also start earlier."""
+    from pyspark.sql import functions as F
+
+    from quiver.llm.substring_dedup import remove_repeats
+
+    found = remove_repeats(read_table(spark, sf_dir, "documents"), window=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
