@@ -131,3 +131,36 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = remove_repeats(read_table(spark, sf_dir, "documents"), window=20)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from the labels outside the held-out fold."""
+    from quiver.llm.quality import quality_scores
+
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), cut=0.3,
+                          folds=5).drop("tag")
+
+
+OP7_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages),
+b AS (
+  SELECT h, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((('0x' || substr(h, 1 + 5 * (k // 4), 5))::BIGINT >> (15 - 5 * (k % 4))) % 32)::INT, 1), '' ORDER BY k) AS digest
+  FROM (SELECT DISTINCT h FROM p), range(32) r(k) GROUP BY h)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN b USING (h)
+"""
+
+
+@query("op7_warc", OP7_SQL)
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as monolithic WARC files, normalised and read back by their index."""
+    from quiver.llm.warc import normalise, read_records, write_monolithic
+
+    whole = write_monolithic(read_table(spark, sf_dir, "pages"), min_revisit_bytes=0)
+    return read_records(*normalise(spark, whole))

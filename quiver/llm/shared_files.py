@@ -32,3 +32,31 @@ def write_file(folder: str, name: str, parts) -> None:
         for part in parts:
             out.write(part)
     store.move(draft, f"{root}/{name}")
+
+
+class Reader:
+    """Ranges of files in a shared folder; keeps the last file open."""
+
+    def __init__(self, folder: str):
+        url = urlparse(folder)
+        if url.scheme in ("", "file"):
+            root = unquote(url.path) if url.scheme else folder
+            self._open = lambda name: open(os.path.join(root, name), "rb")
+        else:
+            from pyarrow import fs
+
+            store, root = fs.FileSystem.from_uri(folder)
+            self._open = lambda name: store.open_input_file(f"{root}/{name}")
+        self._name, self._file = None, None
+
+    def read(self, name: str, offset: int, length: int) -> bytes:
+        if name != self._name:
+            self.close()
+            self._file, self._name = self._open(name), name
+        self._file.seek(offset)
+        return self._file.read(length)
+
+    def close(self) -> None:
+        if self._file is not None:
+            self._file.close()
+        self._name, self._file = None, None
