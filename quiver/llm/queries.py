@@ -164,3 +164,49 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     whole = write_monolithic(read_table(spark, sf_dir, "pages"), min_revisit_bytes=0)
     return read_records(*normalise(spark, whole))
+
+
+# ---------------------------------------------------------------- chat transcripts
+
+#: How a stand-in transcript names the speakers, by style (fixed values).
+_STYLES = (("System: ", "User: ", "Assistant: "), ("[system] ", "[human] ", "[ai] "),
+           ("### Instructions:\n", "### Human:\n", "### Assistant:\n"), ("Context> ", "Q> ", "A> "))
+_LINES_PER_TURN = 20  # bits of a line's position that count lines within its turn
+
+
+def transcript_lines(conversations: DataFrame) -> DataFrame:
+    """Stand-in transcripts from a turn table: (conv_id, pos, line, state). Every
+    conversation has a marker style; one turn in five comes without its marker; half of
+    the styles put a blank line between turns. ``state`` is the line's true state."""
+    from pyspark.sql import functions as F
+
+    from quiver.llm.chat_format import ROLES
+
+    c = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+                             F.coalesce("role", F.lit("user")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(len(_STYLES))).cast("int")
+    known = F.array_position(F.array(*[F.lit(r) for r in ROLES]), F.col("role")).cast("int")
+    known = F.when(known > 0, known - 1).otherwise(1)
+    table = F.array(*[F.array(*[F.lit(m) for m in marks]) for marks in _STYLES])
+    marker = F.when(F.pmod(F.xxhash64("conv_id", "turn"), F.lit(5)) == 0, "").otherwise(F.get(F.get(table, style), known))
+    gap = F.when(style % 2 == 1, "\n").otherwise("")
+    lines = F.split(F.concat(marker, F.col("text"), gap), "\n", -1)
+    told = c.select("conv_id", "turn", known.alias("known"), F.posexplode(lines).alias("k", "line"))
+    kind = F.when(F.col("k") == 0, 0).when(F.length(F.trim("line")) == 0, 2).otherwise(1)
+    return told.select("conv_id", (F.col("turn") * (1 << _LINES_PER_TURN) + F.col("k")).alias("pos"), "line",
+                       (F.col("known") * 3 + kind).cast("int").alias("state"))
+
+
+@query("op4_chat_format")
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns recovered from all transcripts by the hidden Markov model, rendered. The model
+    is counted over the transcripts whose crc32(conv_id as text) mod 5 is not 0."""
+    from pyspark.sql import functions as F
+
+    from quiver.llm.chat_format import fit, parse_transcripts
+    from quiver.llm.common import pin
+
+    span = 64 << _LINES_PER_TURN
+    lines = pin(transcript_lines(read_table(spark, sf_dir, "conversations")), "transcripts")
+    fold = F.crc32(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).cast("binary")) % 5
+    return parse_transcripts(lines.drop("state"), fit(lines.where(fold != 0), span), span)
