@@ -1,12 +1,17 @@
 """Benchmark items inside documents: size-partitioned MinHash containment search.
 
 Items are partitioned by size: class c holds items of 2**c to 2**(c+1) - 1 words. For each
-class present, documents are cut into overlapping segments of 2**(c+2) words every
-2**(c+1), so that a run as long as any item of the class lies whole in one segment, and
-segment and item sizes stay comparable however long the document is. Within a class,
-containment of ``percent`` of the smallest item in the largest segment bounds the Jaccard
-similarity from below; bands and rows of the sketches are chosen for that bound so that a
-pair at the bound is missed with probability ``miss`` at most.
+class present, documents are cut into blocks of 2**(c+1) words, and every two neighbouring
+blocks are a segment. A run as long as any item of the class lies whole in one segment, and
+segment and item sizes stay comparable however long the document is.
+
+Items and segments are sketched by one permutation: shingles are hashed into bins and each
+bin keeps its smallest value; a segment's bin is the smaller one of its blocks'. An item is
+a candidate where one of its bins equals the segment's. The number of bins of a class is
+chosen so that an item with ``percent`` of its shingles in a segment is missed with a chance
+of about ``MISS``: a shared shingle is hidden by a smaller one of its bin with a chance of
+half the shingles per bin. Where that takes more than ``MOST_BINS`` bins (items of very few
+shingles), every shingle has a bin of its own and nothing is missed.
 
 Candidates (document, item) are then verified exactly: the item's distinct shingles that
 occur anywhere in the document are counted, and containment must reach ``percent``.
@@ -22,46 +27,75 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quiver.llm.common import (NULL_KEY, among_bits, bit_filter, bounded_batches, column, drop_ids, hashed_key_bits,
-                               id_text, maybe_in, mix64, pin, shingle_sets, text_steps, word_hashes)
-from quiver.llm.sketch import band_keys, similarity_sketches
+                               id_text, maybe_in, mix64, ngram_hashes, pin, shingle_sets, text_steps, word_hashes)
 
+MISS = 1e-6
+MOST_BINS = 2048
+_CELLS = 2_000_000  # bins held at a time
+_EMPTY = np.uint64(2 ** 64 - 1)
 
-def tuning(c: int, words: int = 5, percent: int = 80, miss: float = 1e-6, most: int = 512) -> tuple[int, int]:
-    """(bands, rows) for size class ``c``: the most rows per band whose bands, in at most
-    ``most`` coordinates, keep the chance of a miss at the class's Jaccard bound below
-    ``miss``; one row per band if none does."""
+
+def bins_of(c: int, words: int = 5, percent: int = 80) -> int:
+    """Bins per sketch of size class ``c``; 0: every shingle has its own."""
     item = max(2 ** c - words + 1, 1)
-    segment = 2 ** (c + 2) - words + 1
-    part = percent / 100 * item
-    jaccard = part / (segment + item - part)
-    best = (math.ceil(math.log(miss) / math.log1p(-jaccard)), 1)
-    for rows in range(2, 9):
-        bands = math.ceil(math.log(miss) / math.log1p(-jaccard ** rows))
-        if bands * rows <= most:
-            best = (bands, rows)
-    return best
-
-
-def segments(words: np.ndarray, offsets: np.ndarray, c: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word positions of class-c segments: (start, end, text) arrays."""
-    stride = 2 ** (c + 1)
-    counts = np.diff(offsets)
-    per = np.where(counts > 0, np.maximum(-(-counts // stride) - 1, 1), 0)
-    text = np.repeat(np.arange(len(counts)), per)
-    k = np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per)
-    start = offsets[:-1][text] + k * stride
-    return start, np.minimum(start + 2 * stride, offsets[1:][text]), text
+    shared = math.ceil(percent / 100 * item)
+    per_bin = min(0.5, 2 * MISS ** (1 / shared))
+    bins = math.ceil(2 ** (c + 2) / per_bin)
+    return bins if bins <= MOST_BINS else 0
+
+
+def _values(shingles: np.ndarray, c: int, bins: int) -> tuple[np.ndarray, np.ndarray]:
+    x = mix64(shingles + np.uint64(0x9E3779B97F4A7C15 * (c + 1) % 2 ** 64))
+    return ((x >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64), x * np.uint64(0xD6E8FEB86659FD93)
+
 
+def _bin_keys(minima: np.ndarray, c: int) -> np.ndarray:
+    """Keys of (class, bin, value) for (n, bins) minima; empty bins have keys too."""
+    lanes = mix64(np.arange(1, minima.shape[1] + 1, dtype=np.uint64) * np.uint64(64) + np.uint64(c))
+    return mix64(minima ^ lanes[None, :])
 
-def segment_sets(words: np.ndarray, start: np.ndarray, end: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles of each segment (repeats stay: they change no minimum), flat, with offsets."""
-    from quiver.llm.common import ngram_hashes
 
-    grams = ngram_hashes(words, n)
-    sizes = np.maximum(end - start - n + 1, 0)
-    ends = np.cumsum(sizes)
-    at = np.repeat(start - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
-    return (grams[at] if len(at) else np.zeros(0, np.uint64)), np.concatenate([[0], ends])
+def sketch_keys(shingles: np.ndarray, c: int, bins: int) -> np.ndarray:
+    """All keys of one item's sketch."""
+    if not bins:
+        return mix64(shingles + np.uint64(c))
+    cell, value = _values(shingles, c, bins)
+    minima = np.full((1, bins), _EMPTY, np.uint64)
+    np.minimum.at(minima[0], cell, value)
+    return _bin_keys(minima, c)[minima != _EMPTY]
+
+
+def segment_hits(hashed: np.ndarray, offsets: np.ndarray, c: int, words: int, bins: int, bits: np.ndarray):
+    """(text, key) pairs of segment keys that the filter lets through, in pieces."""
+    counts = np.diff(offsets)
+    grams = ngram_hashes(hashed, words)
+    owner = np.repeat(np.arange(len(counts)), counts)[: len(grams)]
+    place = np.arange(len(grams))
+    inside = place + words <= offsets[1:][owner]
+    grams, owner, place = grams[inside], owner[inside], place[inside]
+    if not bins:
+        keys = mix64(grams + np.uint64(c))
+        hit = among_bits(bits, keys)
+        yield owner[hit], keys[hit]
+        return
+    size = 2 ** (c + 1)
+    per = -(-counts // size)
+    base = np.cumsum(per) - per
+    block = base[owner] + (place - offsets[:-1][owner]) // size
+    total = int(per.sum())
+    text = np.repeat(np.arange(len(counts)), per)
+    cell, value = _values(grams, c, bins)
+    step = max(_CELLS // bins, 2)
+    for a in range(0, total, step):
+        b = min(a + step + 1, total)  # one block more: the last segment's second
+        lo, hi = np.searchsorted(block, [a, b])
+        minima = np.full((b - a, bins), _EMPTY, np.uint64)
+        np.minimum.at(minima.reshape(-1), (block[lo:hi] - a) * bins + cell[lo:hi], value[lo:hi])
+        pair = text[a: b - 1] == text[a + 1: b]
+        minima[:-1][pair] = np.minimum(minima[:-1], minima[1:])[pair]
+        minima = minima[: min(step, total - a)]
+        rows, lanes = np.nonzero(among_bits(bits, keys := _bin_keys(minima, c)) & (minima != _EMPTY))
+        yield text[a + rows], keys[rows, lanes]
 
 
 def contaminated(docs: DataFrame, items: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -88,10 +122,9 @@ def contaminated(docs: DataFrame, items: DataFrame, words: int = 5, percent: int
                     continue
                 c = n.bit_length() - 1
                 own = flat[ends[i]: ends[i + 1]]
-                bands, rows = tuning(c, words, percent)
-                keys = _keys(own, np.array([0, len(own)]), c, bands, rows)[0]
+                keys = sketch_keys(own, c, bins_of(c, words, percent))
                 yield pa.RecordBatch.from_pylist([{"item": item, "class": c, "shingles": own.view(np.int64).tolist(),
-                                                   "keys": keys.tolist()}], schema=_ITEM)
+                                                   "keys": keys.view(np.int64).tolist()}], schema=_ITEM)
 
     read = pin(tests.mapInArrow(read_items, "item long, class int, shingles array<long>, keys array<long>"), "items")
     item_shingles = pin(read.select("item", F.explode("shingles").alias("shingle")).distinct(), "item-shingles")
@@ -106,15 +139,9 @@ def contaminated(docs: DataFrame, items: DataFrame, words: int = 5, percent: int
             nodes = column(step, "node").to_numpy()
             hashed, offsets = word_hashes(column(step, "text"), lower=True)
             for c in classes:
-                bands, rows = tuning(c, words, percent)
-                start, end, text = segments(hashed, offsets, c)
-                for a in range(0, len(start), 4096):
-                    flat, ends = segment_sets(hashed, start[a: a + 4096], end[a: a + 4096], words)
-                    keys = _keys(flat, ends, c, bands, rows)
-                    hit = among_bits(bits, keys.view(np.uint64)) & (np.diff(ends) > 0)[:, None]
-                    which, band = np.nonzero(hit)
-                    if len(which):
-                        found = np.unique(np.stack([nodes[text[a: a + 4096][which]], keys[which, band]]), axis=1)
+                for text, keys in segment_hits(hashed, offsets, c, words, bins_of(c, words, percent), bits):
+                    if len(text):
+                        found = np.unique(np.stack([nodes[text], keys.view(np.int64)]), axis=1)
                         yield pa.RecordBatch.from_pydict({"node": found[0], "key": found[1]})
 
     hits = keyed.mapInArrow(search, "node long, key long")
@@ -148,9 +175,3 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
 
 _ITEM = pa.schema([("item", pa.int64()), ("class", pa.int32()), ("shingles", pa.list_(pa.int64())),
                    ("keys", pa.list_(pa.int64()))])
-
-
-def _keys(flat: np.ndarray, offsets: np.ndarray, c: int, bands: int, rows: int) -> np.ndarray:
-    """Band keys of class ``c``: keys of different classes differ."""
-    keys = band_keys(similarity_sketches(flat, offsets, bands * rows), bands).view(np.uint64)
-    return mix64(keys + np.uint64(c)).view(np.int64)
