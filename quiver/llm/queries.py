@@ -210,3 +210,11 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = pin(transcript_lines(read_table(spark, sf_dir, "conversations")), "transcripts")
     fold = F.crc32(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).cast("binary")) % 5
     return parse_transcripts(lines.drop("state"), fit(lines.where(fold != 0), span), span)
+
+
+@query("op6_lm_scoring")
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attention-model and word-unigram scores of all documents."""
+    from quiver.llm.lm_scoring import lm_scores
+
+    return lm_scores(read_table(spark, sf_dir, "documents"), folds=10)
