@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import functools
-import glob
-import os
 import unicodedata
-import zipfile
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quiver.functions.stop_words import ENGLISH
+
 TOKEN_PATTERN = "[a-z0-9_]{2,}"  # two or more word characters, after ASCII folding
 NON_ASCII = "[^\\x00-\\x7F]"
 
@@ -48,16 +47,9 @@ def tokens(c) -> Column:
     return F.regexp_extract_all(fold_ascii(F.lower(x)), F.lit(TOKEN_PATTERN), 0)
 
 
-@functools.lru_cache(maxsize=None)
 def english_stop_words() -> tuple[str, ...]:
-    """Spark ML's default English stop-word list, read from the installed
-    spark-mllib jar (the same list ``StopWordsRemover`` loads)."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        text = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8")
-    return tuple(w for w in text.split() if w)
+    """Spark ML's default English stop-word list (what ``StopWordsRemover`` removes)."""
+    return ENGLISH
 
 
 def sql_quote(s: str) -> str:

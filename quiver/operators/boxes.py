@@ -53,7 +53,8 @@ def with_geometry(boxes: DataFrame, width, height) -> DataFrame:
 
 def choose_box(images: DataFrame, boxes: DataFrame, seed: int = 42, epoch: int = 0,
                p_gesture: float = 0.7) -> DataFrame:
-    """Per image the last gesture box and the last no_gesture box;
+    """Per image the last gesture box and the last no_gesture box (by position,
+    then by the box itself, so repeated positions have a fixed choice);
     draw 'gesture' with probability ``p_gesture`` from md5(name, seed, epoch);
     if the drawn kind is absent, take the kind of the image's first box; flip
     the leading hand when the chosen box is no_gesture."""
@@ -61,9 +62,9 @@ def choose_box(images: DataFrame, boxes: DataFrame, seed: int = 42, epoch: int =
     b = boxes.withColumn("_kind", kind)
     box = F.struct("box_pos", "x", "y", "w", "h", "label")
     per = b.groupBy("image_key").agg(
-        F.max_by(box, F.when(F.col("_kind") == "gesture", F.col("box_pos"))).alias("_g"),
-        F.max_by(box, F.when(F.col("_kind") == "no_gesture", F.col("box_pos"))).alias("_n"),
-        F.min_by("_kind", "box_pos").alias("_first"),
+        F.max(F.when(F.col("_kind") == "gesture", box)).alias("_g"),
+        F.max(F.when(F.col("_kind") == "no_gesture", box)).alias("_n"),
+        F.min_by("_kind", box).alias("_first"),
     )
     u = F.conv(F.substring(F.md5(F.concat_ws("|", "name", F.lit(str(seed)), F.lit(str(epoch)))), 1, 8), 16, 10) \
         .cast("double") / float(16 ** 8)

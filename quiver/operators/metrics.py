@@ -149,8 +149,8 @@ def categorical_log_loss(df: DataFrame, probs_col: str, label_col: str) -> DataF
 
 
 def hit(pred_list_col: str, target_col: str):
-    """1 when the target is in the predicted list."""
-    return F.array_contains(F.col(pred_list_col), F.col(target_col)).cast("int")
+    """1 when the target is in the predicted list; a missing list or target is a miss."""
+    return F.coalesce(F.array_contains(F.col(pred_list_col), F.col(target_col)).cast("int"), F.lit(0))
 
 
 def hit_rate(df: DataFrame, pred_list_col: str, target_col: str) -> DataFrame:
@@ -161,8 +161,8 @@ def hit_rate(df: DataFrame, pred_list_col: str, target_col: str) -> DataFrame:
 
 def recall_ndcg(df: DataFrame, pred_list_col: str, target_col: str, k: int = 10) -> DataFrame:
     """recall@k and NDCG@k with one relevant item: rank r of the target
-    in the list; recall = [r <= k], ndcg = 1/log2(r+1)."""
-    r = F.array_position(F.slice(F.col(pred_list_col), 1, k), F.col(target_col))
+    in the list; recall = [r <= k], ndcg = 1/log2(r+1). A missing list or target is a miss."""
+    r = F.coalesce(F.array_position(F.slice(F.col(pred_list_col), 1, k), F.col(target_col)), F.lit(0))
     return df.agg(
         F.avg((r > 0).cast("double")).alias(f"recall_at_{k}"),
         F.avg(F.when(r > 0, 1.0 / F.log2(r + 1)).otherwise(0.0)).alias(f"ndcg_at_{k}"),

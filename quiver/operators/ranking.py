@@ -12,8 +12,10 @@ two rounds, first inside (group, spread bucket) cells, then over at most
 one task.
 
 ``rank_by`` and ``running_sums``: rank / exclusive running sums under any
-order, over range partitions of a pinned input, with a measured single-task
-path for small inputs.
+order. Rows are range-partitioned and sorted once, get their partition and
+place as columns, and that frame is pinned; partition totals and rows are then
+both read from the pinned copy, so they always agree. The number of partitions
+follows ``spark.sql.shuffle.partitions`` and AQE, unless given.
 """
 
 from __future__ import annotations
@@ -23,17 +25,6 @@ from pyspark.sql import functions as F
 
 from quiver.functions.common import seeded_hash
 
-# Largest table ranked or summed inside one task. Above it the range-partitioned
-# path is used; the size is measured, never assumed.
-SINGLE_TASK_MAX_ROWS = 1_000_000
-
-
-def fits_one_task(df: DataFrame, max_rows: int = SINGLE_TASK_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Call it on a pinned
-    (checkpointed) frame so the probe does not recompute the lineage."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def require_bounded(df: DataFrame, max_rows: int, what: str) -> None:
     """Refuse to pack ``df`` into one value when it is larger than ``max_rows``
     (lists shipped as scalar subqueries must have a measured bound)."""
@@ -64,8 +55,8 @@ def global_rank(df: DataFrame, key_cols: list[str], seed, rank_col: str = "rank"
     """
     group_cols = list(group_cols or [])
     h = seeded_hash(key_cols, seed)
-    d = (df.withColumn("_qh", h)
-           .withColumn("_qb", F.conv(F.substring("_qh", 1, digits), 16, 10).cast("int")))
+    d = pin(df.withColumn("_qh", h)  # read twice below
+              .withColumn("_qb", F.conv(F.substring("_qh", 1, digits), 16, 10).cast("int")))
     w_local = Window.partitionBy(*group_cols, "_qb").orderBy("_qh", *key_cols)
     ranked = d.withColumn("_qlr", F.row_number().over(w_local))
     counts = d.groupBy(*group_cols, "_qb").agg(F.count(F.lit(1)).alias("_qn"))
@@ -106,25 +97,22 @@ def top_n_per_group(df: DataFrame, group_cols: list[str], order_cols: list, n: i
     return out.drop("_tb", "_tr", "_tr2")
 
 
-def rank_by(df: DataFrame, order_cols: list, rank_col: str = "rank", partitions: int | None = None) -> DataFrame:
-    """Dense 1-based rank under an arbitrary total order, without a
-    one-partition window: range-partition on the order, number rows inside
-    each sorted partition, add the row counts of all earlier partitions
-    (a table with one row per partition, broadcast)."""
-    spark = df.sparkSession
-    order = _order_exprs(order_cols)
-    # Pinned input: the size probe reads it instead of recomputing the lineage,
-    # and range bounds sampled from it are the same in every branch below.
-    df = pin(df)
-    if partitions is None and fits_one_task(df):
-        # measured small: one sorted window is cheaper than the distributed path
-        return df.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    part = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    local = (part.withColumn("_rp", F.spark_partition_id())
+def _range_sorted(df: DataFrame, order: list, partitions: int | None) -> DataFrame:
+    """``df`` in range partitions under ``order``, sorted, pinned, with columns
+    ``_rp`` (partition) and ``_rl`` (1-based place in it) taken right after the sort."""
+    part = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    local = (part.sortWithinPartitions(*order)
+                 .withColumn("_rp", F.spark_partition_id())
                  .withColumn("_rl", F.monotonically_increasing_id()))
     # monotonically_increasing_id = (partition << 33) + position inside the partition
-    local = local.withColumn("_rl", F.col("_rl") - F.shiftleft(F.col("_rp").cast("bigint"), 33) + 1)
+    return pin(local.withColumn("_rl", F.col("_rl") - F.shiftleft(F.col("_rp").cast("bigint"), 33) + 1))
+
+
+def rank_by(df: DataFrame, order_cols: list, rank_col: str = "rank", partitions: int | None = None) -> DataFrame:
+    """Dense 1-based rank under an arbitrary total order, without a
+    one-partition window: rows numbered inside each sorted range partition, plus
+    the row counts of all earlier partitions (one row per partition, broadcast)."""
+    local = _range_sorted(df, _order_exprs(order_cols), partitions)
     counts = local.groupBy("_rp").agg(F.count(F.lit(1)).alias("_rn"))
     w = Window.orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_rp", F.coalesce(F.sum("_rn").over(w), F.lit(0)).alias("_ro"))
@@ -143,28 +131,23 @@ def running_sums(df: DataFrame, order_col: str, value_cols: list[str], group_col
     Adds ``before_<v>`` columns.
     """
     group_cols = list(group_cols or [])
-    spark = df.sparkSession
     o = F.desc(order_col) if descending else F.asc(order_col)
-    df = pin(df)  # one copy for the size probe and for consistent range bounds
-    if partitions is None and fits_one_task(df):
-        # measured small: a plain window per group
-        w = Window.partitionBy(*group_cols).orderBy(o).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumns({f"before_{v}": F.coalesce(F.sum(v).over(w), F.lit(0)) for v in value_cols})
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    part = (df.repartitionByRange(n, *[F.asc(g) for g in group_cols], o)
-              .withColumn("_sp", F.spark_partition_id()))
-    w = (Window.partitionBy("_sp", *group_cols).orderBy(o)
+    part = _range_sorted(df, [*[F.asc(g) for g in group_cols], o], partitions)
+    w = (Window.partitionBy("_rp", *group_cols).orderBy("_rl")
          .rowsBetween(Window.unboundedPreceding, -1))
     local = part.withColumns({f"_l_{v}": F.coalesce(F.sum(v).over(w), F.lit(0)) for v in value_cols})
-    totals = part.groupBy(*group_cols, "_sp").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
-    w2 = (Window.partitionBy(*group_cols).orderBy("_sp")
+    totals = part.groupBy(*group_cols, "_rp").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
+    w2 = (Window.partitionBy(*group_cols).orderBy("_rp")
           .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*group_cols, "_sp",
+    offsets = totals.select("_rp", *[F.col(g).alias(f"_g_{g}") for g in group_cols],
                             *[F.coalesce(F.sum(f"_t_{v}").over(w2), F.lit(0)).alias(f"_o_{v}")
                               for v in value_cols])
     # without groups the offsets table has one row per partition (a proven
     # bound, broadcast); with groups it grows with the group count: AQE decides
     offsets = offsets if group_cols else F.broadcast(offsets)
-    out = local.join(offsets, [*group_cols, "_sp"])
+    same = local["_rp"] == offsets["_rp"]
+    for g in group_cols:  # a null group is a group
+        same = same & local[g].eqNullSafe(offsets[f"_g_{g}"])
+    out = local.join(offsets, same).drop(offsets["_rp"], *[f"_g_{g}" for g in group_cols])
     out = out.withColumns({f"before_{v}": F.col(f"_l_{v}") + F.col(f"_o_{v}") for v in value_cols})
-    return out.drop("_sp", *[f"_l_{v}" for v in value_cols], *[f"_o_{v}" for v in value_cols])
+    return out.drop("_rp", "_rl", *[f"_l_{v}" for v in value_cols], *[f"_o_{v}" for v in value_cols])

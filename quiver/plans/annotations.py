@@ -93,35 +93,27 @@ def q_unletterbox(spark, sf):
 
 @plan("choose_box", with_(IMAGES, BOXES) + """,
 k AS (SELECT *, CASE WHEN label = 'no_gesture' THEN 'no_gesture' ELSE 'gesture' END AS kind FROM boxes),
-per AS (SELECT image_key, max(box_pos) FILTER (WHERE kind = 'gesture') AS gpos,
-               max(box_pos) FILTER (WHERE kind = 'no_gesture') AS npos, arg_min(kind, box_pos) AS first_kind
-        FROM k GROUP BY image_key),
-j AS (SELECT i.image_key, i.name, i.leading_hand, per.*,
+o AS (SELECT *, row_number() OVER (PARTITION BY image_key, kind ORDER BY box_pos DESC, x DESC, y DESC, w DESC, h DESC,
+                                   label DESC) AS from_last,
+             row_number() OVER (PARTITION BY image_key ORDER BY box_pos, x, y, w, h, label) AS from_first FROM k),
+per AS (SELECT image_key, max(kind) FILTER (WHERE from_first = 1) AS first_kind,
+               bool_or(kind = 'gesture') AS has_g, bool_or(kind = 'no_gesture') AS has_n
+        FROM o GROUP BY image_key),
+j AS (SELECT i.image_key, i.name, i.leading_hand, per.first_kind, per.has_g, per.has_n,
              CASE WHEN ('0x' || substr(md5(i.name || '|42|0'), 1, 8))::BIGINT::DOUBLE / 4294967296.0 < 0.7
                   THEN 'gesture' ELSE 'no_gesture' END AS drawn
       FROM images i JOIN per ON i.image_key = per.image_key),
-c AS (SELECT *, CASE WHEN (drawn = 'gesture' AND gpos IS NOT NULL) OR (drawn = 'no_gesture' AND npos IS NOT NULL)
-                     THEN drawn ELSE first_kind END AS choice FROM j),
-cb AS (SELECT c.*, CASE WHEN choice = 'gesture' THEN gpos ELSE npos END AS cpos FROM c)
-SELECT cb.image_key, cb.name, cb.choice, cb.cpos AS box_pos, b.label AS gesture,
-       CASE WHEN b.label = 'no_gesture' THEN (CASE WHEN cb.leading_hand = 'left' THEN 'right' ELSE 'left' END)
-            ELSE cb.leading_hand END AS leading_hand_class
-FROM cb JOIN k b ON b.image_key = cb.image_key AND b.box_pos = cb.cpos""")
+c AS (SELECT *, CASE WHEN (drawn = 'gesture' AND has_g) OR (drawn = 'no_gesture' AND has_n)
+                     THEN drawn ELSE first_kind END AS choice FROM j)
+SELECT c.image_key, c.name, c.choice, b.box_pos, b.label AS gesture,
+       CASE WHEN b.label = 'no_gesture' THEN (CASE WHEN c.leading_hand = 'left' THEN 'right' ELSE 'left' END)
+            ELSE c.leading_hand END AS leading_hand_class
+FROM c JOIN o b ON b.image_key = c.image_key AND b.kind = c.choice AND b.from_last = 1""")
 def q_choose_box(spark, sf):
     """Last gesture / last no_gesture box per image, seeded 0.7/0.3 draw,
-    fallback to the first box's kind, leading hand flipped for no_gesture."""
-    b = annotation_boxes(spark, sf)
-    # a (image, position) pair can repeat in the stand-in data; the chosen
-    # position's rows are all returned, as the SQL twin does
-    imgs = annotation_images(spark, sf)
-    c = boxes.choose_box(imgs, b, seed=42, epoch=0)
-    return (c.select("image_key", "name", "choice", "box_pos")
-              .join(imgs.select("image_key", "leading_hand"), "image_key")
-              .join(b.select("image_key", "box_pos", F.col("label").alias("gesture")), ["image_key", "box_pos"])
-              .select("image_key", "name", "choice", "box_pos", "gesture",
-                      F.when(F.col("gesture") == "no_gesture",
-                             F.when(F.col("leading_hand") == "left", "right").otherwise("left"))
-                      .otherwise(F.col("leading_hand")).alias("leading_hand_class")))
+    fallback to the first box's kind, leading hand flipped for no_gesture; one row per image."""
+    c = boxes.choose_box(annotation_images(spark, sf), annotation_boxes(spark, sf), seed=42, epoch=0)
+    return c.select("image_key", "name", "choice", "box_pos", "gesture", "leading_hand_class")
 
 
 @plan("label_codes", with_(BOXES) + """,
@@ -143,10 +135,10 @@ def q_existing_images(spark, sf):
 
 @plan("subset_per_class", with_(IMAGES) + """,
 r AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY name) AS rn FROM images)
-SELECT image_key, name, target FROM r WHERE rn <= 100""")
+SELECT image_key, name, target FROM r WHERE rn <= 2000""")
 def q_subset_per_class(spark, sf):
-    """First 100 files per class in name order."""
-    return boxes.subset_per_class(annotation_images(spark, sf), 100).select("image_key", "name", "target")
+    """First 2000 files per class in name order."""
+    return boxes.subset_per_class(annotation_images(spark, sf), 2000).select("image_key", "name", "target")
 
 
 @plan("group_split", with_(IMAGES) + """,

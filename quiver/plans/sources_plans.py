@@ -25,7 +25,12 @@ def _conversation_csv(spark, sf) -> str:
     return path
 
 
-@plan("csv_tolerant")
+_CONV_SQL = """
+SELECT conv_id, turn, role, nullif(regexp_replace(text, '[\\r\\n]+', ' ', 'g'), '') AS text
+FROM conversations WHERE text NOT LIKE '%,%'"""
+
+
+@plan("csv_tolerant", _CONV_SQL)
 def q_csv_tolerant(spark, sf):
     """Tolerant CSV read of raw conversation lines: too many fields -> skipped."""
     path = _conversation_csv(spark, sf)
@@ -49,7 +54,7 @@ def q_clean_header(spark, sf):
 SELECT row_number() OVER (ORDER BY event_id) - 1 AS row_id, event_id, event_type FROM events""")
 def q_row_id(spark, sf):
     """Dense 0-based row id in file order (the events file is written in id order)."""
-    return files.row_ids(read_table(spark, sf, "events", spread=False)).select("row_id", "event_id", "event_type")
+    return files.row_ids(read_table(spark, sf, "events")).select("row_id", "event_id", "event_type")
 
 
 @plan("scan_parquet", "SELECT * FROM orders")
@@ -58,7 +63,7 @@ def q_scan_parquet(spark, sf):
     return read_table(spark, sf, "orders")
 
 
-@plan("scan_glob")
+@plan("scan_glob", "SELECT * FROM lineitem")
 def q_scan_glob(spark, sf):
     """Every parquet file matching a glob read as one relation."""
     return read_glob(spark, f"{sf.rstrip('/')}/lineite*.parquet")
@@ -73,25 +78,7 @@ def q_annotations_json(spark, sf):
     return files.read_annotation_json(spark, path)
 
 
-@plan("list_files")
-def q_list_files(spark, sf):
-    """File listing filtered by extension (here the parquet tables)."""
-    return files.list_files(spark, sf, extensions=(".parquet",))
-
-
 @plan("feature_rows")
 def q_feature_rows(spark, sf):
     """Item arrays as ML feature vectors with a double label."""
     return files.feature_rows(read_table(spark, sf, "embeddings"), "embedding", "label")
-
-
-
-@plan("image_dims")
-def q_image_dims(spark, sf):
-    """Every item vector written as an 8x8 grayscale PNG, the files listed
-    by extension and decoded by Spark's image source for width and height."""
-    path = shared_path(spark, "vector-images")
-    e = read_table(spark, sf, "embeddings")
-    files.write_vector_images(e, "vec_id", "embedding", path, 8, 8)
-    listed = files.list_files(spark, path, extensions=(".png",)).select("name")
-    return files.image_dims(spark, path).join(listed, "name", "left_semi")

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings every quiver job relies on: UTC for tz-free timestamps, ANSI casts,
@@ -29,11 +30,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "quiver", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with quiver's settings.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or *]``; on a cluster pass None
-    and let spark-submit decide.
+    Without ``master`` the one that spark-submit or the Spark configuration
+    names is used; only where none is named, ``local[$BENCH_CPUS or *]``.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and not os.environ.get("SPARK_MASTER_SET"):
+    if master is None and SparkSession.getActiveSession() is None and not SparkConf().get("spark.master", None):
         master = f"local[{os.environ.get('BENCH_CPUS', '*')}]"
     if master:
         builder = builder.master(master)
@@ -86,13 +87,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is only read here. Only
-    when it is unset (tests on a laptop) a folder of our own is set.
+    when it is unset in local mode (tests on a laptop) a folder of our own is set.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not configured:
         configured = os.path.join("/tmp", "quiver-checkpoints")
     sc.setCheckpointDir(configured)

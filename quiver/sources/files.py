@@ -24,37 +24,38 @@ def clean_header(df: DataFrame) -> DataFrame:
 
 
 def read_csv_tolerant(spark: SparkSession, path: str, header_line: str | None = None,
-                      types: dict | None = None) -> DataFrame:
-    """CSV read that skips lines with more fields than the header and
-    null-fills lines with fewer (the semantics of a pandas ``on_bad_lines='skip'``
+                      types: dict | None = None, multi_line: bool = False) -> DataFrame:
+    """CSV read that skips records with more fields than the header and
+    null-fills records with fewer (the semantics of a pandas ``on_bad_lines='skip'``
     read); blank lines are skipped.
 
-    Lines are counted with a quote-aware split and parsed with ``from_csv``.
-    The header (first line of the dataset unless given) names the columns;
-    header lines repeated at the top of other files are dropped.
+    Without ``header_line`` every file starts with a header line, which names the
+    columns; with it the files hold data only, and no line is taken for a header.
+    ``multi_line`` allows line ends inside quotes (a file is then read by one task).
+    Spark's CSV source marks records of the wrong width; only their fields are
+    counted, with a quote-aware split.
     """
-    lines = spark.read.text(path).filter(F.col("value") != "")
-    if header_line is None:
-        header_line = lines.limit(1).collect()[0][0]  # one line, the header
+    own_header = header_line is None
+    if own_header:
+        header_line = spark.read.text(path).filter(F.col("value") != "").limit(1).collect()[0][0]
     names = [n.strip().strip('"') for n in header_line.split(",")]
-    n_fields = F.size(F.split("value", _SPLIT_OUTSIDE_QUOTES, -1))
-    body = lines.filter((F.col("value") != header_line) & (n_fields <= len(names)))
-    ddl = ", ".join(f"`c{i}` string" for i in range(len(names)))
-    parsed = body.select(F.from_csv("value", ddl, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
-    out = parsed.toDF(*names)
+    ddl = ", ".join(f"`c{i}` string" for i in range(len(names))) + ", `_wrong` string"
+    raw = spark.read.csv(path, schema=ddl, header=own_header, multiLine=multi_line, mode="PERMISSIVE",
+                         columnNameOfCorruptRecord="_wrong", escape='"')
+    n_fields = F.size(F.split("_wrong", _SPLIT_OUTSIDE_QUOTES, -1))
+    kept = raw.filter(F.col("_wrong").isNull() | (n_fields <= len(names)))
+    out = kept.drop("_wrong").toDF(*names)
     for c, t in (types or {}).items():
         out = out.withColumn(c, F.col(c).try_cast(t))
     return out
 
 
 def row_ids(scan: DataFrame, col: str = "row_id") -> DataFrame:
-    """Dense 0..n-1 ids in file order, for a DataFrame straight from a
-    file scan (scan partitions follow file offsets; rows keep their order
-    inside a partition). Offsets of earlier partitions come from a table with
-    one row per partition (broadcast)."""
-    d = (scan.withColumn("_fp", F.spark_partition_id())
-             .withColumn("_fm", F.monotonically_increasing_id()))
-    d = d.withColumn("_fl", F.col("_fm") - F.shiftleft(F.col("_fp").cast("bigint"), 33))
+    """Dense 0..n-1 ids in file order (files by path, rows by their place in
+    the file), for a DataFrame straight from a Parquet scan. Spark's file metadata
+    gives each row's file and place; the rows of earlier files are added from a
+    table with one row per file (broadcast)."""
+    d = scan.select("*", F.col("_metadata.file_path").alias("_fp"), F.col("_metadata.row_index").alias("_fl"))
     counts = d.groupBy("_fp").agg(F.count(F.lit(1)).alias("_fn"))
     w = Window.orderBy("_fp").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("_fp", F.coalesce(F.sum("_fn").over(w), F.lit(0)).alias("_fo"))
@@ -128,43 +129,3 @@ def feature_rows(df: DataFrame, array_col: str, label_col: str, scale: float | N
     if scale is not None:
         arr = F.transform(arr, lambda x: x * F.lit(scale))
     return df.select(array_to_vector(arr).alias("features"), F.col(label_col).cast("double").alias("label"))
-
-
-def png_bytes(pixels, width: int, height: int) -> bytes:
-    """A grayscale 8-bit PNG of ``pixels`` (row-major, values 0..255)."""
-    import struct
-    import zlib
-
-    def chunk(kind: bytes, data: bytes) -> bytes:
-        body = kind + data
-        return struct.pack(">I", len(data)) + body + struct.pack(">I", zlib.crc32(body) & 0xFFFFFFFF)
-
-    rows = b"".join(b"\x00" + bytes(pixels[r * width:(r + 1) * width]) for r in range(height))
-    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0))
-            + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b""))
-
-
-def write_vector_images(df: DataFrame, id_col: str, vec_col: str, path: str, width: int, height: int) -> int:
-    """Each vector as a ``width`` x ``height`` grayscale PNG (min-max scaled) named
-    ``<id>.png`` under ``path`` (a folder every executor can reach). Files are
-    written by the tasks themselves; returns the number written."""
-    import os
-
-    local = path[len("file:"):] if path.startswith("file:") else path
-
-    def write(batches):
-        import numpy as np
-        import pandas as pd
-
-        os.makedirs(local, exist_ok=True)
-        for pdf in batches:
-            for key, vec in zip(pdf[id_col], pdf[vec_col]):
-                v = np.asarray(vec, dtype=np.float64)[: width * height]
-                lo, hi = v.min(), v.max()
-                px = np.zeros_like(v) if hi == lo else (v - lo) / (hi - lo) * 255.0
-                with open(os.path.join(local, f"{key}.png"), "wb") as f:
-                    f.write(png_bytes([int(round(p)) for p in px], width, height))
-            yield pd.DataFrame({"n": [len(pdf)]})
-
-    out = df.select(id_col, vec_col).mapInPandas(write, "n long")
-    return out.agg(F.sum("n")).collect()[0][0] or 0

@@ -38,10 +38,41 @@ def test_top_n_per_group_skewed_group(spark):
     assert got == [("cold", 2, 3), ("cold", 3, 2), ("cold", 4, 1), ("hot", 4997, 3), ("hot", 4998, 2), ("hot", 4999, 1)]
 
 
-def test_small_tables_take_single_task_path(spark):
+def test_default_partitions(spark):
     df = spark.range(200).select((F.col("id") * 37 % 200).alias("v"))
     assert sorted(r["rank"] for r in rank_by(df, ["v"]).collect()) == list(range(1, 201))
     rows = [(g, s, s % 3) for g in range(2) for s in range(20)]
     d = spark.createDataFrame(rows, "g int, s int, q int")
     for r in running_sums(d, "s", ["q"], group_cols=["g"]).collect():
         assert r.before_q == sum(q for g, s, q in rows if g == r.g and s < r.s)
+
+
+def test_rank_by_many_rows_with_a_payload_read(spark):
+    """More rows than the range bounds are sampled from; every rank is checked next to its payload."""
+    n = 1_200_000
+    df = spark.range(0, n, 1, 8).select((F.col("id") * 7919 % n).alias("v"), F.sha1(F.col("id").cast("string")).alias("pay"))
+    out = rank_by(df, ["v"], partitions=8)
+    wrong = out.where((F.col("rank") != F.col("v") + 1) | (F.length("pay") != 40))
+    assert wrong.count() == 0 and out.select("rank").distinct().count() == n
+
+
+def test_running_sums_many_rows_with_a_payload_read(spark):
+    n = 400_000
+    df = spark.range(0, n, 1, 8).select((F.col("id") * 7919 % n).alias("v"), F.lit(1).alias("q"),
+                                        F.sha1(F.col("id").cast("string")).alias("pay"))
+    out = running_sums(df, "v", ["q"], partitions=8)
+    assert out.where((F.col("before_q") != F.col("v")) | (F.length("pay") != 40)).count() == 0
+
+
+def test_exact_auc_on_many_scores(spark):
+    from quiver.operators.metrics import roc_auc
+
+    n = 200_000
+    df = spark.range(0, n, 1, 8).select((F.pmod(F.xxhash64("id"), F.lit(n * 4)) / (n * 4.0)).alias("s"),
+                                        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2)).cast("int").alias("y"))
+    pdf = df.toPandas()
+    ranks = pdf.s.rank()
+    pos = pdf.y == 1
+    want = (ranks[pos].sum() - pos.sum() * (pos.sum() + 1) / 2) / (pos.sum() * (~pos).sum())
+    got = roc_auc(df, "s", "y").collect()[0][0]
+    assert abs(got - want) < 1e-6
