@@ -7,10 +7,10 @@ distance between the tail's empirical CDF and the fitted CDF
 ``1 - ((x + 1/2) / (xmin - 1/2)) ** (1 - alpha)``. The best fit has the
 smallest KS distance (ties to the smaller xmin).
 
-The count-of-counts table (one row per distinct frequency, at most about
-sqrt(2 * rows) of them) is written once to the shared folder; candidate rows
-are scored by ``mapInPandas`` tasks that each read that table, so the
-candidate x tail pairs are never rows.
+The count-of-counts table has one row per distinct frequency: at most
+sqrt(2 * rows) of them, since distinct frequencies add up to the rows. It is
+broadcast behind a check of that size; candidate rows are scored by
+``mapInPandas`` tasks, so the candidate x tail pairs are never rows.
 """
 
 from __future__ import annotations
@@ -20,19 +20,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiver.session import shared_path
+from quiver.operators.ranking import pin
 
 SCHEMA = "xmin long, n_tail long, alpha double, ks double"
 
 
-def _score_fn(path: str):
-    def run(batches):
-        import pyarrow.parquet as pq
+MOST_FREQUENCIES = 20_000_000  # distinct frequencies of 2 * 10**14 rows; 16 bytes each
+
 
-        local = path[len("file:"):] if path.startswith("file:") else path
-        t = pq.read_table(local).to_pandas().sort_values("x")
-        x = t["x"].to_numpy(dtype=np.float64)
-        m = t["m"].to_numpy(dtype=np.float64)
+def _score_fn(shared):
+    def run(batches):
+        x, m = shared.value
         for pdf in batches:
             out = []
             for xmin in pdf["xmin"].to_numpy():
@@ -51,12 +49,15 @@ def powerlaw_fit(freq: DataFrame, col: str) -> DataFrame:
     """Fit table (xmin, n_tail, alpha, ks, is_best) for integer frequencies in ``col``."""
     spark = freq.sparkSession
     coc = freq.groupBy(F.col(col).cast("long").alias("x")).agg(F.count(F.lit(1)).alias("m"))
-    path = shared_path(spark, "powerlaw-coc")
-    coc.write.parquet(path)
-    table = spark.read.parquet(path)
+    table = pin(coc)
+    n = table.count()
+    if n > MOST_FREQUENCIES:
+        raise ValueError(f"{n} distinct frequencies")
+    held = table.orderBy("x").toPandas()
+    shared = spark.sparkContext.broadcast((held["x"].to_numpy(dtype=np.float64), held["m"].to_numpy(dtype=np.float64)))
     top = table.select(F.max("x")).scalar()
     cand = table.filter(F.col("x") < top).select(F.col("x").alias("xmin"))
-    scored = cand.mapInPandas(_score_fn(path), SCHEMA)
+    scored = cand.mapInPandas(_score_fn(shared), SCHEMA)
     scored = scored.checkpoint(eager=True)  # one table, read for the best row and the output
     best = scored.select(F.min_by("xmin", F.struct("ks", "xmin"))).scalar()
     return scored.withColumn("is_best", F.col("xmin") == best)
