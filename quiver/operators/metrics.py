@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiver.operators.ranking import running_sums
+from quiver.operators.ranking import pin, running_sums
 
 EPS = 1e-7
 
@@ -60,10 +60,11 @@ def threshold_accuracy(df: DataFrame, score_col: str, label_col: str, threshold:
 def multiclass_metrics(df: DataFrame, pred_col: str, label_col: str) -> DataFrame:
     """Accuracy, precision, recall, F1 with support-weighted averaging;
     zero division gives 0; weighted accuracy equals weighted recall."""
-    tp = df.filter(F.col(pred_col) == F.col(label_col)).groupBy(F.col(label_col).alias("_c")).agg(
-        F.count(F.lit(1)).alias("tp"))
-    sup = df.groupBy(F.col(label_col).alias("_c")).agg(F.count(F.lit(1)).alias("support"))
-    npred = df.groupBy(F.col(pred_col).alias("_c")).agg(F.count(F.lit(1)).alias("npred"))
+    cells = pin(df.groupBy(F.col(label_col).alias("_t"), F.col(pred_col).alias("_p")).agg(
+        F.count(F.lit(1)).alias("_n")))  # one pass over df; all counts come from its cells
+    tp = cells.filter(F.col("_t") == F.col("_p")).select(F.col("_t").alias("_c"), F.col("_n").alias("tp"))
+    sup = cells.groupBy(F.col("_t").alias("_c")).agg(F.sum("_n").alias("support"))
+    npred = cells.groupBy(F.col("_p").alias("_c")).agg(F.sum("_n").alias("npred"))
     per = (sup.join(npred, "_c", "full").join(tp, "_c", "left")
               .fillna(0, subset=["tp", "support", "npred"]))
     prec = F.when(F.col("npred") > 0, F.col("tp") / F.col("npred")).otherwise(0.0)

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quiver.operators import experiments, features, knn, learn, metrics, profile, sampling
+from quiver.operators import experiments, features, knn, learn, metrics, profile, recs, sampling
 from quiver.plans.playlists import _sequences
 from quiver.plans.purchases import split_table
 from quiver.plans.registry import plan
@@ -30,27 +30,26 @@ def q_item_embeddings(spark, sf):
 @plan("w2v_hit_rate")
 def q_w2v_hit_rate(spark, sf):
     """L01+L02+M09: item vectors trained on the train split's sequences, then
-    next-track prediction (10 nearest, cosine) for every validation sequence
-    and its hit rate."""
+    next-track prediction (100 nearest, cosine) for every validation sequence
+    and its hit rate@100."""
     s = _seq_split(spark, sf)
     vec = learn.item_embeddings(s.filter(F.col("split") == "train"), "track_sequence",
                                 vector_size=48, window=10, min_count=3).checkpoint(eager=True)
-    nt = knn.next_track(s.filter(F.col("split") == "validate"), vec, k=10)
+    nt = knn.next_track(s.filter(F.col("split") == "validate"), vec, k=100)
     return metrics.hit_rate(nt, "predictions", "track_test_y")
 
 
 @plan("grid_results")
 def q_grid_results(spark, sf):
-    """Grid over the vector-space min_count (3, 5, 10): the space
-    keeps items seen at least min_count times in train sequences; hit rate@100
-    on the validation split; the best set (first on ties) is re-scored on test."""
+    """Grid over Word2Vec's min_count (3, 5, 10): item vectors are trained
+    on the train sequences for every set; hit rate@100 on the validation split; the
+    best set (first on ties) is re-scored on test."""
     s = _seq_split(spark, sf)
     train = s.filter(F.col("split") == "train")
-    counts = train.select(F.explode("track_sequence").alias("item_id")).groupBy("item_id").count()
-    vec = item_vectors(spark, sf)
-    rows = []
+    rows, spaces = [], {}
     for i, mc in enumerate((3, 5, 10)):
-        space = vec.join(counts.filter(F.col("count") >= mc).select("item_id"), "item_id", "left_semi")
+        space = spaces[mc] = learn.item_embeddings(train, "track_sequence", vector_size=48, window=10,
+                                                   min_count=mc).checkpoint(eager=True)
         nt = knn.next_track(s.filter(F.col("split") == "validate"), space, k=100)
         hr = metrics.hit_rate(nt, "predictions", "track_test_y").select(
             F.lit(i).alias("grid_pos"), F.lit(mc).alias("min_count"), "hit_rate")
@@ -62,9 +61,8 @@ def q_grid_results(spark, sf):
     js = experiments.python_json([("min_count", F.col("min_count")), ("k", F.lit(100))])
     res = res.withColumns({"params": js, "model_name": experiments.param_hash(js)})
     best = profile.best_by_metric(res.withColumn("_g", F.lit(1)), ["_g"], "min_count", "hit_rate", "grid_pos")
-    best_mc = best.select("best_min_count").scalar()
-    space = vec.join(counts.filter(F.col("count") >= best_mc).select("item_id"), "item_id", "left_semi")
-    test_nt = knn.next_track(s.filter(F.col("split") == "test"), space, k=100)
+    best_mc = best.head()["best_min_count"]  # one row: the chosen parameter set
+    test_nt = knn.next_track(s.filter(F.col("split") == "test"), spaces[best_mc], k=100)
     test_hr = metrics.hit_rate(test_nt, "predictions", "track_test_y").select("hit_rate").scalar()
     return res.select("grid_pos", "min_count", "params", "model_name", F.col("hit_rate").alias("validation_hit_rate"),
                       (F.col("min_count") == best_mc).alias("is_best"),
@@ -89,8 +87,6 @@ def q_als_recall_ndcg(spark, sf):
     """L05+D13+M10: implicit ALS fitted on coded train purchases; its top-10 for
     every test shopper scored with recall@10 and NDCG@10 against the shopper's
     first test purchase (shoppers unseen in training count as misses)."""
-    from quiver.operators import recs
-
     s = split_table(spark, sf, ["article_id", "customer_id", "t_dat", "split", "price", "sales_channel_id"])
     cats = features.fit_many(s, ["customer_id", "article_id"])
     cu, ca = cats["customer_id"], cats["article_id"]
@@ -133,7 +129,7 @@ def _labelled_vectors(spark, sf, n_classes=None):
 @plan("rf_cv")
 def q_rf_cv(spark, sf):
     """Random forest (10 trees), 5-fold accuracy mean +- std (x100)."""
-    scores = learn.kfold_accuracy(_labelled_vectors(spark, sf), learn.random_forest(10, max_depth=10))
+    scores = learn.kfold_accuracy(_labelled_vectors(spark, sf), learn.random_forest(10))
     return experiments.fold_stats(scores)
 
 
@@ -179,8 +175,11 @@ def q_stream_batch_score(spark, sf):
 
 @plan("project_2d")
 def q_project_2d(spark, sf):
-    """2-D PCA of the vectors of the 250 most common tracks."""
+    """2-D PCA of the vectors of the 250 most common tracks and of the tracks that
+    'error' playlists add to them."""
     seqs = _sequences(spark, sf)
     top = profile.most_common(seqs.select(F.explode("track_sequence").alias("item_id")), "item_id", 250)
-    vec = item_vectors(spark, sf).join(top.select("item_id"), "item_id", "left_semi")
-    return learn.project_2d(vec)
+    tagged = seqs.filter(F.col("playlist_id").contains("error")).select(F.explode("track_sequence").alias("item_id"))
+    vec = item_vectors(spark, sf)
+    shown = recs.extend_items(top.select("item_id"), tagged, vec.select("item_id"), "item_id")
+    return learn.project_2d(vec.join(shown, "item_id", "left_semi"))

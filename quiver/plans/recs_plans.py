@@ -74,7 +74,14 @@ def q_recall_ndcg(spark, sf):
     return m.select(r6("recall_at_10").alias("recall_at_10"), r6("ndcg_at_10").alias("ndcg_at_10"), "n")
 
 
-@plan("recs_kv")
+@plan("recs_kv", _RECS_SQL + """
+SELECT CAST(customer_id AS VARCHAR) AS userId,
+       '{"items":' || CAST(to_json(items::VARCHAR[]) AS VARCHAR)
+       || CASE WHEN target IS NULL THEN '' ELSE ',"target":' || CAST(to_json(CAST(target AS VARCHAR)) AS VARCHAR) END || '}' AS recs
+FROM user_recs
+UNION ALL
+SELECT 'no_user', '{"items":[' || string_agg('"test_rec_' || i || '"', ',' ORDER BY i) || ']}' FROM range(10) r(i)
+""")
 def q_recs_kv(spark, sf):
     """Key-value records (userId, JSON recs) + the no_user default,
     written as parquet to the shared folder and read back."""
@@ -101,7 +108,7 @@ def q_recs_lookup(spark, sf):
 
 @plan("extend_items", with_(SEQUENCES, VECTORS) + """,
 items AS (SELECT unnest(track_sequence) AS track_id FROM seqs),
-top AS (SELECT track_id FROM items GROUP BY track_id ORDER BY count(*) DESC, track_id LIMIT 50),
+top AS (SELECT track_id FROM items GROUP BY track_id ORDER BY count(*) DESC, track_id LIMIT 250),
 base AS (SELECT track_id FROM top SEMI JOIN vectors v ON top.track_id = v.item_id),
 cand AS (SELECT DISTINCT unnest(track_sequence) AS track_id FROM seqs WHERE contains(playlist_id, 'error'))
 SELECT track_id FROM base
@@ -109,11 +116,11 @@ UNION ALL
 SELECT track_id FROM cand
 WHERE track_id IN (SELECT item_id FROM vectors) AND track_id NOT IN (SELECT track_id FROM base)""")
 def q_extend_items(spark, sf):
-    """The 50 most common tracks with vectors, extended by tracks of 'error'
+    """The 250 most common tracks with vectors, extended by tracks of 'error'
     playlists that have a vector and are not already listed."""
     seqs = _sequences(spark, sf)
     vec = item_vectors(spark, sf).select(F.col("item_id").alias("track_id"))
     flat = seqs.select(F.explode("track_sequence").alias("track_id"))
-    base = profile.most_common(flat, "track_id", 50).select("track_id").join(vec, "track_id", "left_semi")
+    base = profile.most_common(flat, "track_id", 250).select("track_id").join(vec, "track_id", "left_semi")
     cand = seqs.filter(F.col("playlist_id").contains("error")).select(F.explode("track_sequence").alias("track_id"))
     return recs.extend_items(base, cand, vec, "track_id")
