@@ -41,7 +41,7 @@ def test_dedup_combines_map_side_before_one_shuffle(spark, q):
 
 def test_knn_runs_in_arrow_batches_without_pairs(spark, q):
     tree = plan_text(q["knn_cosine"](spark, SF)).split("\n\n")[0]
-    assert "MapInPandas" in tree
+    assert "MapInArrow" in tree
     assert "CartesianProduct" not in tree and "BroadcastNestedLoopJoin" not in tree
 
 
