@@ -11,7 +11,10 @@ sys.path.insert(0, ROOT)
 
 from quiver.plans.registry import all_plans  # noqa: E402
 
-NOT_REGISTERED: dict[str, str] = {}
+NOT_REGISTERED: dict[str, str] = {
+    "list_files": "operator `sources/files.py:list_files`; the given tables hold no files to list",
+    "image_dims": "operator `sources/files.py:image_dims`; the given tables hold no images",
+}
 
 
 def main() -> None:
