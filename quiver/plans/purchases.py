@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quiver.functions.common import r6
 from quiver.operators import profile, sampling, sinks, staging
+from quiver.operators.ranking import pin
 from quiver.plans.registry import plan
 from quiver.plans.sqlparts import (DEDUP, FILTERED, JOINED, RAW_CUSTOMERS, SPLIT, STAGED_ARTICLES,
                                    STAGED_CUSTOMERS, STAGED_TX, with_)
@@ -174,7 +175,7 @@ def q_item_metadata(spark, sf):
 @plan("union_splits", with_(SPLIT) + " SELECT article_id, customer_id, t_dat, split FROM split_rows")
 def q_union_splits(spark, sf):
     """The three split frames concatenated back by column name (bag union)."""
-    s = split_rows(spark, sf).select("article_id", "customer_id", "t_dat", "split")
+    s = pin(split_rows(spark, sf).select("article_id", "customer_id", "t_dat", "split"))  # read three times
     parts = [s.filter(F.col("split") == lab) for lab in ("train", "valid", "test")]
     parts[1] = parts[1].select("split", "t_dat", "customer_id", "article_id")  # other column order
     out = parts[0]

@@ -42,10 +42,11 @@ def user_recs(spark, sf, k: int = K):
     test = coded.filter(F.col("split") == "test").select("user_code", "item_code", "t_dat", "article_id", "price",
                                                         "sales_channel_id")
     first = recs.first_per_user(test, "user_code", ["t_dat", "article_id", "price", "sales_channel_id"])
-    items = pop.select("items").scalar()  # one bounded list (k codes), a scalar subquery
-    pred = first.select("user_code", F.col("item_code").alias("target_code"), items.alias("item_codes"))
-    dec = recs.decode_list(pred, "item_codes", ca.mapping, "items")
-    dec = cu.decode(dec, "user_code", "customer_id")
+    # the list is the same for everyone: its k codes are decoded once, as a scalar subquery
+    one = recs.decode_list(pop.select(F.lit(1).alias("_one"), F.col("items").alias("codes")), "codes", ca.mapping, "items")
+    items = one.select("items").scalar()
+    pred = first.select("user_code", F.col("item_code").alias("target_code"), items.alias("items"))
+    dec = cu.decode(pred, "user_code", "customer_id")
     dec = ca.decode(dec, "target_code", "target")
     return dec.select("customer_id", F.col("items").cast("array<string>").alias("items"),
                       F.col("target").cast("string").alias("target"))
@@ -100,10 +101,7 @@ def q_recs_lookup(spark, sf):
     kv = recs.kv_records(user_recs(spark, sf), "customer_id", K)
     req = read_table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("userId"))
     out = recs.lookup(req, kv, "userId")
-    found = kv.select(F.col("userId").alias("_key"), F.lit(True).alias("found"))
-    return (out.join(found, "_key", "left")
-               .select("userId", arr_text("items").alias("items"),
-                       F.coalesce("found", F.lit(False)).alias("found")))
+    return out.select("userId", arr_text("items").alias("items"), "found")
 
 
 @plan("extend_items", with_(SEQUENCES, VECTORS) + """,
