@@ -33,7 +33,9 @@ MARKERS = {
     "user": r"user|human|customer|client|question|q|me|you|prompt",
     "assistant": r"assistant|ai|bot|agent|gpt|answer|a|model|support|response",
 }
-_SHAPE = r"^\s*(?:#+\s*|\*\*|\[|<\|?|\()?(?i:{names})(?:\*\*|\]|\|?>|\))?\s*(?::|>|-|$)\s*(?:\*\*)?\s*"
+#: A name in brackets, or a name (perhaps as a heading or in bold) and a colon, arrow or line end.
+_SHAPE = (r"^\s*(?:(?:\[|<\|?)(?i:{names})(?:\]|\|?>)\s*:?"
+          r"|(?:#+\s*|\*\*)?(?i:{names})(?:\*\*)?\s*(?::|>|$)(?:\*\*)?)\s*")
 
 N_SYMBOLS = 1 + 4 * 2 * 3
 
