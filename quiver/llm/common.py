@@ -3,6 +3,8 @@ bounded bit filters and vectorised word hashing of Arrow text columns."""
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,7 +16,7 @@ from quiver.session import shared_path
 NULL_KEY = 2 ** 63 - 1  # stands for a null id, so that it sorts last and joins with itself
 
 #: Text per Python step: Arrow batches are cut so that the arrays built from one stay bounded.
-STEP_BYTES = 8_000_000
+STEP_BYTES = 4_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,10 +45,19 @@ def pin(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def suspects_of(docs: DataFrame, key: Column, keys: DataFrame, key_col: str, log2_bits: int = 22):
+    """``docs`` in two parts: rows whose key is in ``keys`` for certain not, and the others.
+    Only the others need a join, so the texts of most rows are never shuffled."""
+    maybe = maybe_in(bit_filter(F.col(key_col), keys, log2_bits), key)
+    return docs.where(~maybe), docs.where(maybe)
+
+
 def drop_ids(docs: DataFrame, id_col: str, decisions: DataFrame) -> DataFrame:
     """``docs`` without the rows whose id is in ``decisions`` (column ``doc_id``, nulls match)."""
-    d = decisions.select(F.col("doc_id").alias("_drop_id")).distinct()
-    return docs.join(d, F.col(id_col).cast("long").eqNullSafe(F.col("_drop_id")), "left_anti")
+    own = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_KEY))
+    d = pin(decisions.select(F.coalesce("doc_id", F.lit(NULL_KEY)).alias("_drop_id")).distinct(), "dropped-ids")
+    clear, suspects = suspects_of(docs, own, d, "_drop_id")
+    return clear.unionByName(suspects.join(d, own == F.col("_drop_id"), "left_anti"))
 
 
 # ---------------------------------------------------------------- bounded bit filter
@@ -119,6 +130,18 @@ def text_steps(batches, limit: int = STEP_BYTES):
             start = stop
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
+    held = None
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system at the end of a task: a Python worker lives on
+    for other tasks, and what its allocators keep counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
 
 
 def column(table: pa.Table, name: str) -> pa.Array:
@@ -151,20 +174,54 @@ def split_words(texts: pa.Array, lower: bool) -> tuple[pa.DictionaryArray, np.nd
     return flat.dictionary_encode(), offsets
 
 
-def hash_strings(values: pa.Array, seed: int = 0) -> np.ndarray:
-    import xxhash
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_KEEP = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [2 ** 64 - 1], np.uint64)  # first k bytes of eight
+_LONG = 512  # bytes; longer words are hashed one by one
+
 
-    digest = xxhash.xxh3_64_intdigest
-    raw = values.cast(pa.binary()).to_pylist()
-    return np.fromiter((digest(x, seed) for x in raw), dtype=np.uint64, count=len(raw))
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' UTF-8 bytes end to end, and each text's offsets in them."""
+    texts = texts.cast(pa.large_string())
+    _, offs, data = texts.buffers()
+    at = np.frombuffer(offs, np.int64)[texts.offset: texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data, np.uint8)[at[0]: at[-1]] if data else np.zeros(0, np.uint8)
+    return raw, at - at[0]
 
 
 def word_hashes(texts: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of every word of the texts, and the texts' offsets."""
-    words, offsets = split_words(texts, lower)
-    if not len(words):
-        return np.zeros(0, np.uint64), offsets
-    return hash_strings(words.dictionary)[words.indices.to_numpy(zero_copy_only=False)], offsets
+    """64-bit hash of every word ``[^\\x20\\x09-\\x0D]+`` of the texts, and the texts' offsets in
+    them. Eight bytes of all words are mixed in at a time."""
+    raw, at = text_bytes(texts)
+    n = len(raw)
+    data = np.zeros(n + 8, np.uint8)
+    data[:n] = _LOWER[raw] if lower else raw
+    space = _SPACE[raw]
+    first = np.zeros(n + 1, bool)
+    first[at] = True  # a text's first byte starts a word, and ends the one before
+    edge = np.ones(n + 1, bool)
+    edge[1:n] = space[:-1] if n else True
+    edge |= first
+    starts = np.flatnonzero(edge[:n] & ~space)
+    stop = first.copy()
+    stop[:n] |= space
+    ends = np.flatnonzero(stop[1:] & ~space) + 1
+    left = ends - starts
+    words = np.ndarray((n + 1,), "<u8", data, strides=(1,))  # the eight bytes from each place on
+    h = mix64(left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    h = mix64(h ^ (words[starts] & _KEEP[np.minimum(left, 8)]))
+    rows = np.flatnonzero((left > 8) & (left <= _LONG))
+    done = 8
+    while len(rows):
+        chunk = words[starts[rows] + done] & _KEEP[np.minimum(left[rows] - done, 8)]
+        h[rows] = mix64(h[rows] ^ chunk)
+        done += 8
+        rows = rows[left[rows] > done]
+    for i in np.flatnonzero(left > _LONG):
+        h[i] = _short_hash(data[starts[i]: ends[i]])
+    return h, np.searchsorted(starts, at).astype(np.int64)
 
 
 _M = np.uint64(0x9E3779B97F4A7C15)

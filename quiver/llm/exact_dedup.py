@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiver.llm.common import bit_filter, maybe_in, pin
+from quiver.llm.common import NULL_KEY, bit_filter, maybe_in, pin, suspects_of
 
 #: The white space that does not count when texts are compared (fixed values).
 SPACE = " \t\n\x0b\x0c\r"
@@ -55,10 +55,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     first = F.min(F.struct(-F.col("n_code_points"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"),
                            F.col("row"))).alias("first")
-    groups = (hashed.where("searched").groupBy("text_sha256").agg(first, F.count(F.lit(1)).alias("group_size"))
-              .where("group_size > 1")
-              .select(F.col("text_sha256").alias("g"), F.col("first.doc_id").alias("keep"),
-                      F.col("first.row").alias("keep_row"), "group_size"))
+    # pinned, so that the join below deals both sides anew and a hot group can be split
+    groups = pin(hashed.where("searched").groupBy("text_sha256").agg(first, F.count(F.lit(1)).alias("group_size"))
+                 .where("group_size > 1")
+                 .select(F.col("text_sha256").alias("g"), F.col("first.doc_id").alias("keep"),
+                         F.col("first.row").alias("keep_row"), "group_size"), "dedup-groups")
     # rows outside the search get a key of their own, so that they do not meet in one partition
     on = F.when(F.col("searched"), F.col("text_sha256")).otherwise(F.concat(F.lit("row "), F.col("row")))
     return (hashed.join(groups, on == F.col("g"), "left")
@@ -75,9 +76,13 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     fate = pin(exact_dedup(docs, id_col, text_col, **options).where("text_sha256 is not null")
                .groupBy(F.col("doc_id").alias("_dup_id"), F.col("text_sha256").alias("_dup_sha"))
                .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "dedup-fate")
-    tagged = docs.withColumn("_own_sha", F.sha2(norm, 256))
+    # only rows with an id of a dropped or repeated one are joined (and hashed again)
+    own = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_KEY))
+    ids = fate.where("not kept or n > 1").select(F.coalesce("_dup_id", F.lit(NULL_KEY)).alias("_dup_key"))
+    clear, suspects = suspects_of(docs, own, ids, "_dup_key")
+    tagged = suspects.withColumn("_own_sha", F.sha2(norm, 256))
     same = F.col(id_col).cast("long").eqNullSafe(F.col("_dup_id")) & (F.col("_own_sha") == F.col("_dup_sha"))
     rest = tagged.join(fate.where("not kept"), same, "left_anti")
     again = fate.where("kept and n > 1")
     once = rest.join(again, same, "left_semi").dropDuplicates([id_col, "_own_sha"])
-    return rest.join(again, same, "left_anti").unionByName(once).drop("_own_sha")
+    return clear.unionByName(rest.join(again, same, "left_anti").unionByName(once).drop("_own_sha"))

@@ -149,7 +149,7 @@ def read_file(raw: bytes, code: Code) -> tuple[list, np.ndarray, np.ndarray, int
 
 
 def write_token_files(docs: DataFrame, folder: str | None = None, end_id: int = 2, id_col: str = "doc_id",
-                      text_col: str = "text", vocabulary: str | None = None) -> str:
+                      text_col: str = "text", vocabulary: str | None = None, chunk_bytes: int = 8_000_000) -> str:
     """Encode all documents in ascending id order (null ids first) and write the files;
     returns their folder. A null or empty text is its end id alone; repeated ids are
     separate documents, in any order among themselves; an empty table writes only the
@@ -163,7 +163,7 @@ def write_token_files(docs: DataFrame, folder: str | None = None, end_id: int =
         from pyspark import TaskContext
 
         shard, encoder, earlier = TaskContext.get().partitionId(), Encoder.of(path), 0
-        for chunk, step in enumerate(text_steps(batches)):
+        for chunk, step in enumerate(text_steps(batches, chunk_bytes)):
             ids, offsets = encoder.encode(column(step, "text"))
             ids = np.insert(ids, offsets[1:], end_id).astype("<u4", copy=False)
             sizes = np.diff(offsets) + 1

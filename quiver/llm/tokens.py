@@ -31,7 +31,7 @@ _MARK[list(b'!"#$%&()*+,-./:;<=>?@[]^_{|}~')] = True
 _DOUBLE = {a + b for a in (b" ", b"\n") for b in (b" ", b"\n", b"\t", b"\x0b", b"\x0c", b"\r")}
 
 _WORKER: dict = {}
-_REMEMBER = 600_000  # pieces a worker keeps, about 200 bytes each
+_REMEMBER = 500_000  # pieces a worker keeps, about 200 bytes each
 
 
 def default_vocabulary() -> str:
