@@ -31,7 +31,7 @@ from quiver.llm.common import (NULL_KEY, among_bits, bit_filter, bounded_batches
 
 MISS = 1e-6
 MOST_BINS = 2048
-_CELLS = 2_000_000  # bins held at a time
+_CELLS = 1 << 16  # bins held at a time: they stay in a core's cache
 _EMPTY = np.uint64(2 ** 64 - 1)
 
 
@@ -52,7 +52,7 @@ def _values(shingles: np.ndarray, c: int, bins: int) -> tuple[np.ndarray, np.nda
 def _bin_keys(minima: np.ndarray, c: int) -> np.ndarray:
     """Keys of (class, bin, value) for (n, bins) minima; empty bins have keys too."""
     lanes = mix64(np.arange(1, minima.shape[1] + 1, dtype=np.uint64) * np.uint64(64) + np.uint64(c))
-    return mix64(minima ^ lanes[None, :])
+    return minima ^ lanes[None, :]
 
 
 def sketch_keys(shingles: np.ndarray, c: int, bins: int) -> np.ndarray:
@@ -170,7 +170,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                       **options) -> DataFrame:
     """``docs`` with all its columns, without the documents that hold an item."""
     found = contaminated(docs, items, id_col=id_col, text_col=text_col, **options)
-    return drop_ids(docs, id_col, pin(found.select("doc_id").distinct(), "leaky"))
+    return drop_ids(docs, id_col, found.select("doc_id"))
 
 
 _ITEM = pa.schema([("item", pa.int64()), ("class", pa.int32()), ("shingles", pa.list_(pa.int64())),
