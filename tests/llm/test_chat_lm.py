@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 
+from quiver.llm import lm_scoring
 from quiver.llm.attention_lm import AttentionModel
 from quiver.llm.chat_format import N_SYMBOLS, S, START, STATES, Hmm, fit, parse_transcripts, symbol, viterbi
 from quiver.llm.common import read_table
@@ -183,3 +184,26 @@ def test_no_training_documents_and_no_documents(docs_of):
 def test_model_beats_the_base_on_held_out_documents(spark):
     got = lm_scores(read_table(spark, "/root/testdata/sf0.01", "documents")).where("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
+def test_the_model_learns_from_whole_texts(docs_of, monkeypatch):
+    rng = random.Random(2)
+    rows = [(k, " ".join(f"w{rng.randrange(50)}" for _ in range(10_000))) for k in range(75)]  # over 600,000 words
+    seen = {}
+
+    def fit(texts, symbols, *args, **shape):
+        seen.update(texts=sorted(r.text for r in texts.select("text").collect()), shape=shape)
+        return AttentionModel(symbols.size, **shape)
+
+    monkeypatch.setattr(lm_scoring, "fit", fit)
+    lm_scores(docs_of(rows, 4))
+    assert seen["texts"] == sorted(t for k, t in rows if zlib.crc32(str(k).encode()) % 10)
+    own = AttentionModel(10)
+    assert seen["shape"] == {"dim": own.dim, "heads": own.heads, "hidden": own.hidden, "span": own.span}
+
+
+def test_every_window_is_trained(monkeypatch):
+    m, met = AttentionModel(9, 8, 2, 8, 4), []
+    monkeypatch.setattr(m, "gradients", lambda x: (met.extend(x[:, 0].tolist()), (0.0, {}))[1])
+    lm_scoring.train_windows(m, np.arange(70).reshape(10, 7), 3, 1e-3, 0.1, 0, batch=4)
+    assert sorted(met) == list(range(0, 70, 7))
