@@ -1,6 +1,7 @@
 """Transcript parsing and language-model scores against brute force."""
 
 import collections
+import inspect
 import itertools
 import math
 import random
@@ -207,3 +208,11 @@ def test_every_window_is_trained(monkeypatch):
     monkeypatch.setattr(m, "gradients", lambda x: (met.extend(x[:, 0].tolist()), (0.0, {}))[1])
     lm_scoring.train_windows(m, np.arange(70).reshape(10, 7), 3, 1e-3, 0.1, 0, batch=4)
     assert sorted(met) == list(range(0, 70, 7))
+
+
+def test_averaged_parts_beat_the_base_on_held_out_documents(spark):
+    """Several parts, as large inputs have; no option makes the model see less of a text."""
+    assert not {"share", "least_words"} & set(inspect.signature(lm_scores).parameters)
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents")
+    got = lm_scores(docs, part_ids=300_000, warm_steps=400).where("held_out").collect()
+    assert sum(r.score for r in got) > sum(r.base_score for r in got)
