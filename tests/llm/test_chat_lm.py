@@ -216,3 +216,10 @@ def test_averaged_parts_beat_the_base_on_held_out_documents(spark):
     docs = read_table(spark, "/root/testdata/sf0.01", "documents")
     got = lm_scores(docs, part_ids=300_000, warm_steps=400).where("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
+def test_few_training_documents(docs_of):
+    for n in (1, 2, 3):
+        rows = [(k, f"some words of text {k}") for k in range(1, n + 1)] + [(None, "held out words")]
+        for options in ({}, {"part_ids": 4}):  # the second: more parts than documents
+            check(rows, lm_scores(docs_of(rows), warm_steps=5, least_steps=2, **options).collect())
