@@ -10,9 +10,10 @@ next scan as a bit filter of fixed size; a false hit there only lets a window go
 next level, and the last level compares the full windows (64-bit hashes of all words).
 
 At the full length every batch of documents first settles its own repeats, so a window
-that is everywhere meets once per batch. The rest is grouped by the window's anchor, whole
-groups of anchors are compared at a time, and every occurrence but the first (smallest
-document, then smallest start) gives a span to remove.
+that is everywhere meets once per batch. The rest is grouped by the window's own hash, so
+that windows around a common shorter passage spread over all groups; whole groups are
+compared at a time, and every occurrence but the first (smallest document, then smallest
+start) gives a span to remove. Spans that touch are joined per document.
 """
 
 from __future__ import annotations
@@ -90,9 +91,17 @@ def repeated_spans(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
                    log2_bits: int = 26, group_windows: int = 1_000_000) -> DataFrame:
     """(node, tag, start, length) word spans covered by windows that also start earlier:
     in a document of a smaller id (null ids last; documents of equal id by a hash of their
-    text) or earlier in the same document. node is the id, 2**63-1 if null; tag is the
+    text) or earlier in the same document; spans of a document do not touch. node is the id, 2**63-1 if null; tag is the
     xxhash64 of the text. Rows that repeat id and text are one document. Texts of fewer
     than ``window`` words, null or empty ones hold no window."""
+    found = _document_spans(docs, window, id_col, text_col, log2_bits, group_windows)
+    return found.select("node", "tag", F.explode(F.arrays_zip("starts", "lengths")).alias("x")).select(
+        "node", "tag", F.col("x.starts").alias("start"), F.col("x.lengths").alias("length"))
+
+
+def _document_spans(docs: DataFrame, window: int, id_col: str, text_col: str, log2_bits: int = 26,
+                    group_windows: int = 1_000_000) -> DataFrame:
+    """The spans of repeated_spans as one row per document: (node, tag, starts, lengths)."""
     keyed = _keyed(docs, id_col, text_col)
     spark = docs.sparkSession
     sizes = _levels(window)
@@ -121,14 +130,37 @@ def repeated_spans(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
         total = again.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
         filters.append(spark.sparkContext.broadcast(hashed_key_bits(F.col("key"), again, log2_bits)))
 
-    # windows per anchor: half the anchors possible, so this many groups keep a group's size near group_windows
+    # windows per 10 words or more that repeat: half of those possible, so a group has about group_windows
     groups = max(1, -(-total * (window - ANCHOR + 1) // (2 * group_windows)))
     last = pin(keyed.mapInArrow(lambda batches: _last_level(batches, window, survivors, groups),
                                 "grp long, node long, tag long, start int, length int, hashes binary, docs binary, "
                                 "starts binary, nodes binary, tags binary"), "full-windows")
     compared = (last.where("hashes is not null").select("grp", "hashes", "docs", "starts", "nodes", "tags")
                 .groupBy("grp").applyInArrow(lambda group: _compare(group, window), "node long, tag long, start int, length int"))
-    return last.where("hashes is null").select("node", "tag", "start", "length").unionByName(compared)
+    spans = last.where("hashes is null").select("node", "tag", "start", "length").unionByName(compared)
+    # a text's own words bound the number of its spans
+    spans = spans.groupBy("node", "tag").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("spans"))
+    return spans.mapInArrow(_joined, "node long, tag long, starts array<int>, lengths array<int>")
+
+
+def _joined(batches):
+    """Sorted spans of each row, those that touch or overlap joined."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        spans = batch.column("spans")
+        sizes = np.diff(spans.offsets.to_numpy())
+        flat, row = spans.flatten(), np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
+        start = flat.field("start").to_numpy() + (row << 33)
+        end = np.maximum.accumulate(start + flat.field("length").to_numpy())  # later rows begin beyond it
+        head = np.flatnonzero(np.append(True, start[1:] > end[:-1]))
+        tail = np.append(head[1:], len(start)) - 1
+        ends = pa.array(np.searchsorted(row[head], np.arange(len(sizes) + 1)), pa.int32())
+        own = row[head] << 33
+        yield pa.RecordBatch.from_pydict({
+            "node": batch.column("node"), "tag": batch.column("tag"),
+            "starts": pa.ListArray.from_arrays(ends, pa.array((start[head] - own).astype(np.int32))),
+            "lengths": pa.ListArray.from_arrays(ends, pa.array((end[tail] - start[head]).astype(np.int32)))})
 
 
 def _keyed(docs, id_col, text_col):
@@ -156,7 +188,7 @@ def _last_level(batches, window, survivors, groups):
         new[1:] = (nodes[order][1:] != nodes[order][:-1]) | (tags[order][1:] != tags[order][:-1])
         rank[order] = np.cumsum(new) - 1
         hashes, doc, start = w.gram(window)[w.at[rows]], rank[w.text[rows]], w.start[rows]
-        group = (w.grams[ANCHOR][w.anchor[rows]] % np.uint64(groups)).astype(np.int64)
+        group = (hashes % np.uint64(groups)).astype(np.int64)
         by = np.lexsort((start, doc, hashes))
         hashes, doc, start, group = hashes[by], doc[by], start[by], group[by]
         first, later = _first_and_later(hashes, doc, start)
@@ -210,7 +242,7 @@ def _span_batches(names, start, window):
 
 
 def _compare(table: pa.Table, window: int) -> pa.Table:
-    """Spans of all occurrences in one group of anchors that are not the first."""
+    """Spans of all occurrences in one group of windows that are not the first."""
     raw = {c: [x.as_buffer() for x in table.column(c)] for c in ("hashes", "docs", "starts", "nodes", "tags")}
     read = lambda c, kind: [np.frombuffer(x, kind) for x in raw[c]]
     hashes = np.concatenate(read("hashes", np.uint64))
@@ -234,10 +266,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
     joined by one space). Words are ``[^\\x20\\x09-\\x0D]+``, unchanged; a null text has none;
     which windows count, and the cases of ties and nulls, are those of repeated_spans. An
     empty table gives an empty result; other columns are ignored."""
-    spans = (repeated_spans(docs, window, id_col, text_col, **options).groupBy("node", "tag")
-             .agg(F.collect_list("start").alias("starts"), F.collect_list("length").alias("lengths")))
-    # parts of a document's spans come from several groups; a text's own words bound their number
-    spans = pin(spans, "spans")
+    spans = pin(_document_spans(docs, window, id_col, text_col, **options), "spans")
 
     def cut(batches):
         from itertools import compress

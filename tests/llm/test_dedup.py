@@ -11,7 +11,8 @@ from quiver.llm.decontaminate import bins_of, contaminated, drop_contaminated
 from quiver.llm.exact_dedup import drop_exact_copies, exact_dedup
 from quiver.llm.near_dedup import drop_near_duplicates, near_duplicates
 from quiver.llm.sketch import similarity_sketches
-from quiver.llm.substring_dedup import remove_repeats
+from quiver.llm import substring_dedup
+from quiver.llm.substring_dedup import remove_repeats, repeated_spans
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -241,6 +242,34 @@ def test_repeats_match_brute_force(docs_of):
             assert (r.n_words, r.n_removed, r.kept_text) == want[r.doc_id]
 
 
+def test_windows_around_a_common_short_passage_spread_over_the_groups():
+    """A passage shorter than the window is in every text; the windows around it all differ."""
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    passage = prose(rng, 12, 10 ** 6)
+    rows = [(k, f"{prose(rng, 30, 10 ** 6)} {passage} {prose(rng, 30, 10 ** 6)}") for k in range(200)]
+    batch = pa.RecordBatch.from_pydict({"node": [i for i, _ in rows], "tag": [0] * len(rows), "text": [t for _, t in rows]})
+
+    def around(w):  # the windows that hold the whole passage
+        return np.flatnonzero((w.start > 22) & (w.start <= 30))
+
+    sizes = {}
+    for out in substring_dedup._last_level([batch], 20, around, 16):
+        for r in out.to_pylist():
+            if r["hashes"] is not None:
+                sizes[r["grp"]] = sizes.get(r["grp"], 0) + len(r["hashes"]) // 8
+    assert len(sizes) == 16 and max(sizes.values()) < 3 * sum(sizes.values()) / 16
+
+
+def test_spans_of_a_document_are_joined(docs_of):
+    rng = random.Random(6)
+    passage = prose(rng, 300, 10 ** 6)
+    rows = [(1, passage), (2, f"a b c {passage} d"), (3, f"{passage} x {passage}")]
+    got = sorted((r.node, r.start, r.length) for r in repeated_spans(docs_of(rows), group_windows=50).collect())
+    assert got == [(2, 3, 300), (3, 0, 300), (3, 301, 300)]
+
+
 def test_repeated_rows_are_one_document(docs_of):
     text = " ".join(f"t{k}" for k in range(30))
     rows = [(4, text), (4, text), (9, text), (2, "short")]
