@@ -224,14 +224,34 @@ def _matrices(values) -> list[np.ndarray]:
     return [np.asarray(v.values).reshape(S + 1, S + 1) for v in values]
 
 
+# ---------------------------------------------------------------- positions
+
+def starts_of(rows: DataFrame, group: str, order: list[str], size: Column) -> DataFrame:
+    """``rows`` with start, the sum of ``size`` over the rows before it in its group, in the
+    ``order`` given (nulls last); equal rows are told apart by their place in the input.
+    Rows are cut into ranges, so a group of any size is spread; a group's ranges, not its
+    rows, meet in one task."""
+    by = [F.col(group).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in order], F.col("_row")]
+    ranged = pin(rows.withColumn("_size", size.cast("long")).withColumn("_row", F.monotonically_increasing_id())
+                 .repartitionByRange(*by).withColumn("_range", F.spark_partition_id()), "chat-ranges")
+    own = Window.partitionBy("_range", group).orderBy(*by[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_g").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranged.groupBy(F.col(group).alias("_g"), F.col("_range").alias("_r")).agg(F.sum("_size").alias("_sum"))
+    base = ranges.select("_g", "_r", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
+    placed = ranged.withColumn("_own", F.coalesce(F.sum("_size").over(own), F.lit(0)))
+    return (placed.join(base, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r")))
+            .withColumn("start", F.col("_base") + F.col("_own"))
+            .drop("_size", "_row", "_range", "_own", "_g", "_r", "_base"))
+
+
 # ---------------------------------------------------------------- turns
 
 def parse_transcripts(lines: DataFrame, hmm: Hmm, span: int = 1 << 26) -> DataFrame:
     """One row per recovered turn: conv_id, turn, role, text, rendered.
 
-    ``lines`` has conv_id, pos (unique within a conversation, 0 or more) and line; a null
-    line is blank, a null conv_id is a conversation of its own, and lines that repeat a
-    position are all read, in order of their symbols. Lines of a conversation up to its
+    ``lines`` has conv_id, pos (unique within a conversation, 0 or more, never null; see
+    starts_of) and line; a null line is blank, and a null conv_id is a conversation of its
+    own. Lines of a conversation up to its
     second turn's first line are its first turn, whatever their states. ``text`` is the
     turn's lines without the speaker marker and outer blank lines, ``rendered`` the
     canonical ``<|role|>`` block. An empty table gives no rows.

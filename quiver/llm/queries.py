@@ -171,16 +171,18 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: How a stand-in transcript names the speakers, by style (fixed values).
 _STYLES = (("System: ", "User: ", "Assistant: "), ("[system] ", "[human] ", "[ai] "),
            ("### Instructions:\n", "### Human:\n", "### Assistant:\n"), ("Context> ", "Q> ", "A> "))
-_LINES_PER_TURN = 20  # bits of a line's position that count lines within its turn
+_SPAN = 512  # lines of a chunk
 
 
 def transcript_lines(conversations: DataFrame) -> DataFrame:
     """Stand-in transcripts from a turn table: (conv_id, pos, line, state). Every
     conversation has a marker style; one turn in five comes without its marker; half of
-    the styles put a blank line between turns. ``state`` is the line's true state."""
+    the styles put a blank line between turns. ``state`` is the line's true state. ``pos``
+    numbers a conversation's lines from 0: turns in order, null turns last, turns that
+    repeat a number by a hash of role and text; rows of a null conv_id are one conversation."""
     from pyspark.sql import functions as F
 
-    from quiver.llm.chat_format import ROLES
+    from quiver.llm.chat_format import ROLES, starts_of
 
     c = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                              F.coalesce("role", F.lit("user")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
@@ -191,9 +193,11 @@ def transcript_lines(conversations: DataFrame) -> DataFrame:
     marker = F.when(F.pmod(F.xxhash64("conv_id", "turn"), F.lit(5)) == 0, "").otherwise(F.get(F.get(table, style), known))
     gap = F.when(style % 2 == 1, "\n").otherwise("")
     lines = F.split(F.concat(marker, F.col("text"), gap), "\n", -1)
-    told = c.select("conv_id", "turn", known.alias("known"), F.posexplode(lines).alias("k", "line"))
+    placed = starts_of(c.select("conv_id", "turn", F.xxhash64("role", "text").alias("tie"), known.alias("known"),
+                                lines.alias("lines")), "conv_id", ["turn", "tie"], F.size("lines"))
+    told = placed.select("conv_id", "start", "known", F.posexplode("lines").alias("k", "line"))
     kind = F.when(F.col("k") == 0, 0).when(F.length(F.trim("line")) == 0, 2).otherwise(1)
-    return told.select("conv_id", (F.col("turn") * (1 << _LINES_PER_TURN) + F.col("k")).alias("pos"), "line",
+    return told.select("conv_id", (F.col("start") + F.col("k")).alias("pos"), "line",
                        (F.col("known") * 3 + kind).cast("int").alias("state"))
 
 
@@ -206,10 +210,9 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quiver.llm.chat_format import fit, parse_transcripts
     from quiver.llm.common import pin
 
-    span = 64 << _LINES_PER_TURN
     lines = pin(transcript_lines(read_table(spark, sf_dir, "conversations")), "transcripts")
     fold = F.crc32(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).cast("binary")) % 5
-    return parse_transcripts(lines.drop("state"), fit(lines.where(fold != 0), span), span)
+    return parse_transcripts(lines.drop("state"), fit(lines.where(fold != 0), _SPAN), _SPAN)
 
 
 @query("op6_lm_scoring")

@@ -97,6 +97,26 @@ def test_turns_across_chunks_and_edge_lines(spark):
     assert len(STATES) == S
 
 
+def test_null_and_repeated_turns_lose_and_multiply_no_line(spark):
+    rows = [(1, 0, "user", "one"), (1, None, "assistant", "two\nthree"), (1, 1, "user", "four"), (1, 1, "assistant", "five\nsix?"),
+            (2, None, "user", "seven"), (2, None, "user", "eight")] + [(None, 0, "user", "same")] * 3 + [(None, None, None, None)]
+    rows += [(3, k // 2, "user", f"n{k}") for k in range(300)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(3)
+    lines = transcript_lines(turns).cache()
+    places = collections.defaultdict(list)
+    for r in lines.collect():
+        places[r.conv_id].append((r.pos, r.line))
+    assert all(sorted(p for p, _ in x) == list(range(len(x))) for x in places.values())
+    assert places.keys() == {1, 2, 3, None}
+    words = lambda texts: collections.Counter(re.findall(r"\b(?:one|two|three|four|five|six|seven|eight|same|n\d+)\b", "\n".join(texts)))
+    told = [line for _, line in sorted(places[1])]
+    assert words(told[-4:]).keys() >= {"two", "three"}  # the null turn is last
+    for span in (2, 512):
+        model = fit(lines, span)
+        got = parse_transcripts(lines.drop("state"), model, span).collect()
+        assert words(r.text for r in got) == words(t or "" for *_, t in rows)
+
+
 # ---------------------------------------------------------------- language model
 
 def test_gradients_match_differences():
