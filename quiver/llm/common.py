@@ -52,6 +52,19 @@ def suspects_of(docs: DataFrame, key: Column, keys: DataFrame, key_col: str, log
     return docs.where(~maybe), docs.where(maybe)
 
 
+def text_key(id_column: Column, text_column: Column) -> Column:
+    """63-bit hash of a row's id and text (null ids are one value, a null text is empty): rows
+    that repeat an id are told apart, rows that repeat id and text are one."""
+    return F.xxhash64(F.coalesce(id_column.cast("long"), F.lit(NULL_KEY)),
+                      F.coalesce(text_column, F.lit(""))).bitwiseAND(F.lit(NULL_KEY))
+
+
+def drop_keys(docs: DataFrame, id_col: str, text_col: str, decisions: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose text_key is in ``decisions`` (column ``doc_id``)."""
+    own = text_key(F.col(id_col), F.col(text_col))
+    return drop_ids(docs.withColumn("_text_key", own), "_text_key", decisions).drop("_text_key")
+
+
 def drop_ids(docs: DataFrame, id_col: str, decisions: DataFrame) -> DataFrame:
     """``docs`` without the rows whose id is in ``decisions`` (column ``doc_id``, nulls match)."""
     own = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_KEY))

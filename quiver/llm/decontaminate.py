@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiver.llm.common import (NULL_KEY, among_bits, bit_filter, bounded_batches, column, drop_ids, hashed_key_bits,
-                               id_text, maybe_in, mix64, ngram_hashes, pin, shingle_sets, text_steps, word_hashes)
+from quiver.llm.common import (NULL_KEY, among_bits, bit_filter, bounded_batches, column, drop_keys, hashed_key_bits,
+                               id_text, maybe_in, mix64, ngram_hashes, pin, shingle_sets, text_key, text_steps, word_hashes)
 
 MISS = 1e-6
 MOST_BINS = 2048
@@ -168,9 +168,10 @@ def contaminated(docs: DataFrame, items: DataFrame, words: int = 5, percent: int
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       **options) -> DataFrame:
-    """``docs`` with all its columns, without the documents that hold an item."""
-    found = contaminated(docs, items, id_col=id_col, text_col=text_col, **options)
-    return drop_ids(docs, id_col, found.select("doc_id"))
+    """``docs`` with all its columns, without the rows whose own text holds an item. Rows
+    that share an id, or have none, are each judged by their own text."""
+    own = docs.select(text_key(F.col(id_col), F.col(text_col)).alias("doc_id"), F.col(text_col).alias("text"))
+    return drop_keys(docs, id_col, text_col, contaminated(own, items, **options).select("doc_id"))
 
 
 _ITEM = pa.schema([("item", pa.int64()), ("class", pa.int32()), ("shingles", pa.list_(pa.int64())),

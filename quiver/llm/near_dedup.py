@@ -2,7 +2,7 @@
 
 1. One pass over the texts gives each document its shingle count, a 128-bit hash of its
    shingle set and the band keys of its sketch. Documents with equal sets are one class;
-   only class representatives (smallest id) go on.
+   only class representatives (smallest hash of id and text) go on.
 2. Representatives that share a band key are candidates. Rounds of few pairs come first:
    each representative is checked against the bucket minimum it shares most bands with,
    then against up to ``partners`` others picked by hash, and the links found join
@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quiver.llm.common import (NULL_KEY, bit_filter, bounded_batches, column, drop_ids, id_text, maybe_in, pin,
-                               shingle_sets, text_steps, word_hashes)
+from quiver.llm.common import (NULL_KEY, bit_filter, bounded_batches, column, drop_keys, id_text, maybe_in, pin,
+                               shingle_sets, text_key, text_steps, word_hashes)
 from quiver.llm.components import components
 from quiver.llm.sketch import band_keys, similarity_sketches
 
@@ -42,13 +42,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     Words are ``[^\\x20\\x09-\\x0D]+`` after folding A-Z; a text of fewer than ``words``
     words is one shingle; a null, empty or blank text has none and is linked with nothing.
     component_id is the smallest id reachable over links (null ids sort last); kept means
-    doc_id = component_id. Rows that repeat an id are one node. An empty table gives an
-    empty result. Other columns are ignored.
+    that no row of the component has a smaller id (or of equal ids, null or not, a smaller
+    xxhash64 of its text), so rows that share an id are told apart by their texts and rows
+    that repeat id and text are one node. An empty table gives an empty result. Other
+    columns are ignored.
     """
+    return _near_duplicates(docs, words, percent, bands, rows, partners, id_col, text_col).drop("key")
+
+
+def _near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 40, rows: int = 6,
+                     partners: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """near_duplicates with each row's text_key as ``key``."""
     spark = docs.sparkSession
     bounded_batches(spark)
     texts = id_text(docs, id_col, text_col)
-    keyed = texts.select(F.coalesce("doc_id", F.lit(NULL_KEY)).alias("node"), "text")
+    keyed = texts.select(text_key(F.col("doc_id"), F.col("text")).alias("node"),
+                         F.coalesce("doc_id", F.lit(NULL_KEY)).alias("id"), F.xxhash64("text").alias("tag"), "text")
 
     def sketch(batches):
         import xxhash
@@ -58,15 +67,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
             keys = band_keys(similarity_sketches(flat, offsets, bands * rows), bands)
             cuts = zip(offsets[:-1].tolist(), offsets[1:].tolist())
             yield pa.RecordBatch.from_pydict({
-                "node": column(step, "node"), "n_shingles": pa.array(np.diff(offsets)),
+                "node": column(step, "node"), "id": column(step, "id"), "tag": column(step, "tag"), "n_shingles": pa.array(np.diff(offsets)),
                 "set_hash": pa.array([xxhash.xxh3_128_digest(flat[a:b].tobytes()) for a, b in cuts], pa.binary()),
                 "bands": pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands), pa.int32()),
                                                   pa.array(keys.reshape(-1)))})
 
-    sketched = pin(keyed.mapInArrow(sketch, "node long, n_shingles long, set_hash binary, bands array<long>"),
+    sketched = pin(keyed.mapInArrow(sketch, "node long, id long, tag long, n_shingles long, set_hash binary, bands array<long>"),
                    "sketches")
     classes = pin(sketched.where("n_shingles > 0").groupBy("set_hash")
-                  .agg(F.min("node").alias("rep"), F.any_value("n_shingles").alias("n"),
+                  .agg(F.min("node").alias("rep"), F.min(F.struct("id", "tag")).alias("first"), F.any_value("n_shingles").alias("n"),
                        F.any_value("bands").alias("bands")), "shingle-classes")
 
     members = _shared_buckets(classes)
@@ -84,22 +93,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
 
     # classes hang on their representative; components join representatives
     joined = components(_hung(groups).unionByName(more))
-    hung = classes.select("set_hash", "rep").join(joined, F.col("rep") == F.col("node"), "left").select(
-        "set_hash", F.coalesce("component", "rep").alias("comp"))
+    hung = pin(classes.select("set_hash", "rep", "first").join(joined, F.col("rep") == F.col("node"), "left").select(
+        "set_hash", "first", "component"), "class-components")
+    named = hung.where("component is not null").groupBy("component").agg(F.min("first").alias("least"))
+    hung = hung.join(named, "component", "left").select("set_hash", F.coalesce("least", "first").alias("least"))
     # rows without shingles get a key of their own, so that they do not meet in one partition
     own = F.when(F.col("n_shingles") > 0, F.col("set_hash")).otherwise(F.col("node").cast("string").cast("binary"))
-    linked = sketched.select("node", "n_shingles", own.alias("set_hash")).join(pin(hung, "class-components"),
-                                                                                 "set_hash", "left")
-    comp = F.when(F.col("n_shingles") > 0, F.col("comp")).otherwise(F.col("node"))
+    linked = sketched.select(F.col("node").alias("key"), "id", "tag", "n_shingles", own.alias("set_hash")).join(
+        pin(hung, "class-least"), "set_hash", "left")
+    itself = F.struct("id", "tag")
+    least = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(itself)
     real = lambda c: F.when(c != NULL_KEY, c)
-    return linked.select(real(F.col("node")).alias("doc_id"), "n_shingles", real(comp).alias("component_id"),
-                         (F.col("node") == comp).alias("kept"))
+    return linked.select(real(F.col("id")).alias("doc_id"), "n_shingles", real(least["id"]).alias("component_id"),
+                         (itself == least).alias("kept"), "key")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with all its columns and one document (the smallest id) of each component."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    return drop_ids(docs, id_col, found.where("not kept").select("doc_id"))
+    """``docs`` with all its columns and one document (the smallest id, of equal ids the
+    smallest xxhash64 of the text) of each component."""
+    found = _near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    return drop_keys(docs, id_col, text_col, found.where("not kept").select(F.col("key").alias("doc_id")))
 
 
 def _shared_buckets(classes: DataFrame) -> DataFrame:

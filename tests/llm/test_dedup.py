@@ -150,6 +150,24 @@ def test_near_duplicates_nulls_and_repeats(docs_of):
     assert near_duplicates(docs_of(rows).where("doc_id > 50")).count() == 0
 
 
+def test_rows_that_share_an_id_are_dropped_by_their_own_text(spark, docs_of):
+    rng = random.Random(9)
+    a, b, c, d = (prose(rng, 40, 10 ** 6) for _ in range(4))
+    rows = [(3, b), (5, a), (5, b), (None, b), (None, c), (None, d), (6, None), (None, None)]
+    left = drop_near_duplicates(docs_of(rows))
+    assert left.columns == ["doc_id", "text", "keep_id", "n"]
+    want = {(3, b), (5, a), (None, c), (None, d), (6, None), (None, None)}
+    assert {(r.doc_id, r.text) for r in left.collect()} == want and left.count() == len(want)
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs_of(rows)).where("n_shingles > 0").collect()}
+    assert got == {(3, 3, True), (5, 5, True), (5, 3, False), (None, 3, False), (None, None, True)}
+    near = b + " more"  # near copies that share an id: one stays
+    assert drop_near_duplicates(docs_of([(4, b), (4, near), (None, near)])).count() == 1
+    items = spark.createDataFrame([(1, b)], "item_id long, text string")
+    left = drop_contaminated(docs_of(rows), items)
+    assert left.columns == ["doc_id", "text", "keep_id", "n"]
+    assert {(r.doc_id, r.text) for r in left.collect()} == {r for r in rows if r[1] != b}
+
+
 def test_sketch_estimates_similarity():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 2 ** 63, 1200).astype(np.uint64)
