@@ -221,3 +221,58 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quiver.llm.lm_scoring import lm_scores
 
     return lm_scores(read_table(spark, sf_dir, "documents"), folds=10)
+
+
+#: Words of the pieces with A-Z folded; every phrase of one to four words with its count.
+OP11_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, k, array_to_string(w[i:i+k-1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, k, w, unnest(range(1, (len(w) - k + 2)::BIGINT)) AS i FROM w, range(1, 5) r(k) WHERE len(w) >= k)
+  GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM g WHERE k > 1),
+s AS (
+  SELECT c.lang, c.phrase, c.a, j, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.a) // (x.f + y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+  JOIN g x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:j], ' ')
+  JOIN g y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j+1:c.k], ' ')),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS first FROM s),
+o AS (
+  SELECT lang, array_to_string(w[i:i+m-1], ' ') AS phrase, max(a) AS most
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c WHERE k > 2)) GROUP BY ALL),
+z AS (
+  SELECT b.lang, b.phrase, b.a, b.l, b.r, b.score,
+         row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, encode(b.phrase)) AS rank
+  FROM b LEFT JOIN o ON o.lang = b.lang AND o.phrase = b.phrase
+  WHERE first = 1 AND 100 * coalesce(o.most, 0)::HUGEINT < 80 * b.a)
+SELECT z.lang, z.rank, z.phrase, z.a, z.l, z.r, t.n, z.score FROM z JOIN t ON t.lang = z.lang WHERE z.rank <= 2000
+"""
+
+
+@query("op11_collocations", OP11_SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of two to four words of every language."""
+    from quiver.llm.collocations import collocations
+
+    return collocations(read_table(spark, sf_dir, "documents"), least=30, top=2000, cover=80)
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the first four whitened components."""
+    from quiver.llm.whitening import whiten
+
+    return whiten(read_table(spark, sf_dir, "embeddings"), components=4, scale=256)
+
+
+@query("op13_toxicity")
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learned from the labels outside the held-out fold."""
+    from quiver.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), cut=0.3,
+                           folds=4, held=2).drop("tag")
