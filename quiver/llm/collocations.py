@@ -7,9 +7,10 @@ sorted (cell, count) lists. Tasks count their own documents and Spark adds the t
 The frequent pairs are ranked again and get ids of their own, so that three words are a
 (pair, word) cell and four words a (pair, pair) cell of the next pass.
 
-The head bounds what is broadcast. Units beyond it are exact too: a bit filter of fixed size
-says which words or pairs may be frequent outside the head, and phrases that hold such a
-unit are counted by their text instead of their cell.
+The heads of words and pairs bound what is broadcast. Units beyond them are exact too: a bit
+filter of fixed size says which words or pairs may be frequent outside the head. Phrases with
+such a pair are counted by their word ids in a sorted list, phrases with such a word by their
+text.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quiver.llm.common import among_bits, column, hashed_key_bits, pin, text_bytes, text_steps
+from quiver.llm.common import among_bits, column, hashed_key_bits, pin, release_memory, text_bytes, text_steps
 
 NO_LANG = "und"
 _TILE = 10  # log2 of a tile's side
@@ -29,6 +30,8 @@ _CELLS = 1 << (2 * _TILE)
 _DENSE = _CELLS // 16  # buffered pairs from which a tile is counted densely
 _BITS = 24  # log2 of the bit filters' size
 _SHIFT = np.int64(32)
+_STEP = 2_000_000  # bytes of text per step
+_OUT = 50_000  # rows of a batch that a task hands out
 
 _BLANK, _BREAK = 1, 2
 _KIND = np.zeros(256, np.uint8)
@@ -59,7 +62,7 @@ class Words:
         flat = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets.astype(np.int64)),
                                                 pa.py_buffer(_LOWER[raw[inside]])).dictionary_encode()
         text = np.searchsorted(at, starts, side="right")
-        piece = np.cumsum(kind == _BREAK)[starts] + text if len(starts) else text
+        piece = np.cumsum(kind == _BREAK, dtype=np.int32)[starts] + text if len(starts) else text
         self.same = piece[1:] == piece[:-1]
         self.langs = langs.dictionary.to_pylist()
         self.vocabulary = flat.dictionary
@@ -96,7 +99,7 @@ class PairTiles:
     """Exact counts of (row id, column id) pairs in bounded memory: a buffer is folded into
     dense tiles and one sorted list; what grows too long is handed out and started anew."""
 
-    def __init__(self, buffer: int = 1_500_000, listed: int = 3_000_000, tiles: int = 12):
+    def __init__(self, buffer: int = 600_000, listed: int = 1_200_000, tiles: int = 8):
         self.buffer, self.listed, self.tiles = buffer, listed, tiles
         self.held: list[np.ndarray] = []
         self.size = 0
@@ -156,18 +159,43 @@ class PairTiles:
         return ((key >> 22) << _TILE) + (cells >> _TILE), ((key & (2 ** 22 - 1)) << _TILE) + (cells & 1023), counts[cells]
 
 
-class Units:
-    """Frequent units of one level: ids of the head, and the filter of those beyond it."""
+class WidePairs:
+    """Exact counts of pairs of 64-bit codes that have no cell: one sorted list of bounded length."""
 
-    def __init__(self, ids: dict, bits: np.ndarray | None):
-        self.ids, self.bits = ids, bits
+    def __init__(self, buffer: int = 300_000, listed: int = 600_000):
+        self.buffer, self.listed = buffer, listed
+        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
 
-    def maybe(self, lang: str, phrase: str) -> bool:
-        return self.bits is not None and bool(among_bits(self.bits, np.array([_key(lang, phrase)], np.uint64))[0])
+    def add(self, left: np.ndarray, right: np.ndarray):
+        self.held.append((left, right, np.ones(len(left), np.int64)))
+        self.size += len(left)
+        if self.size >= self.buffer:
+            self._fold()
+            if len(self.held[0][0]) >= self.listed:
+                yield from self.rest()
 
+    def rest(self):
+        self._fold()
+        if self.held:
+            yield self.held.pop()
+
+    def _fold(self) -> None:
+        if not self.held:
+            return
+        left, right, n = (np.concatenate(x) for x in zip(*self.held))
+        order = np.lexsort((right, left))
+        left, right, n = left[order], right[order], n[order]
+        first = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1]))[: len(left)])
+        self.held = [(left[first], right[first], np.add.reduceat(n, first))] if len(first) else []
+        self.size = 0
 
-def _key(lang: str, phrase: str) -> int:
-    return zlib.crc32(f"{lang} {phrase}".encode())
+
+class Units:
+    """Frequent words: ids of the head, and the filter of those beyond it (None: there are none)."""
+
+    def __init__(self, ids: dict, bits: np.ndarray | None):
+        self.ids, self.bits = ids, bits
 
 
 def word_codes(words: Words, units: Units) -> np.ndarray:
@@ -177,57 +205,76 @@ def word_codes(words: Words, units: Units) -> np.ndarray:
     tables = [units.ids.get(lang, none) for lang in langs]
     own = np.fromiter((tables[k].get(w, -1) for k, w in zip(words.lang_of.tolist(), words.texts())), np.int64, len(words.key))
     if units.bits is not None:
-        for i in np.flatnonzero(own < 0).tolist():
-            if units.maybe(langs[words.lang_of[i]], words.texts()[i]):
-                own[i] = -2
+        rest = np.flatnonzero(own < 0)
+        texts = words.texts()
+        keys = np.fromiter((zlib.crc32(f"{langs[k]} {texts[i]}".encode()) for i, k in zip(rest.tolist(), words.lang_of[rest].tolist())),
+                           np.uint64, len(rest))
+        own[rest[among_bits(units.bits, keys)]] = -2
     return own[words.combo] if len(own) else np.zeros(0, np.int64)
 
 
-class PairIds:
-    """Ids of the frequent pairs of the head by their two word ids."""
+def _code(rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    return (rows.astype(np.int64) << _SHIFT) | columns.astype(np.int64)
+
+
+class Pairs:
+    """Frequent pairs of head words: ids of their head by rank, and the filter of those beyond it."""
 
-    def __init__(self, rows: np.ndarray, columns: np.ndarray):
-        codes = (rows.astype(np.int64) << _SHIFT) | columns.astype(np.int64)
+    def __init__(self, rows: np.ndarray, columns: np.ndarray, bits: np.ndarray | None):
+        codes = _code(rows, columns)
+        self.ranked, self.bits = codes, bits
         self.order = np.argsort(codes, kind="stable")
         self.codes = codes[self.order]
 
     def __call__(self, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
-        if not len(self.codes):
-            return np.full(len(rows), -1, np.int64)
-        codes = (rows << _SHIFT) | columns
-        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        return np.where(self.codes[at] == codes, self.order[at], -1)
+        out = np.full(len(rows), -1, np.int64)
+        if len(self.codes):
+            codes = _code(rows, columns)
+            at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+            out = np.where(self.codes[at] == codes, self.order[at], -1)
+        if self.bits is not None:
+            rest = np.flatnonzero(out < 0)
+            keys = (rows[rest] * _MIX + columns[rest]).astype(np.uint64)
+            out[rest[among_bits(self.bits, keys)]] = -2
+        return out
+
 
+_MIX = 1000003  # key of a pair in the filter: row * _MIX + column
 
-def pair_codes(words: Words, code: np.ndarray, pairs: PairIds, beyond: Units) -> np.ndarray:
-    """Per word the code of the pair that starts there, as word_codes."""
+
+def pair_codes(words: Words, code: np.ndarray, pairs: Pairs) -> np.ndarray:
+    """Per word what the pair that starts there is: its id in the head, -2 if it may be
+    frequent beyond it (or holds a word beyond the words' head), -1 if it is none."""
     out = np.full(len(code), -1, np.int64)
-    if len(code) < 2:
-        return out
     a, b = code[:-1], code[1:]
     known = np.flatnonzero(words.same & (a >= 0) & (b >= 0))
     out[known] = pairs(a[known], b[known])
-    if beyond.bits is not None:
-        open_ = np.flatnonzero(words.same & (a != -1) & (b != -1) & (out[:-1] == -1))
-        both = words.combo[open_] * len(words.key) + words.combo[open_ + 1]
-        _, first, place = np.unique(both, return_index=True, return_inverse=True)
-        maybe = np.fromiter((beyond.maybe(words.langs[words.lang_of[words.combo[i]]], words.phrase(i, 2))
-                             for i in open_[first].tolist()), bool, len(first))
-        out[open_[maybe[place]]] = -2
+    out[:-1][words.same & (a != -1) & (b != -1) & ((a == -2) | (b == -2))] = -2
     return out
 
 
 # ---------------------------------------------------------------- the passes
 
-_CELL = "size int, a int, b int, lang string, phrase string, n long"
+_CELL = "size int, a int, b int, c int, d int, lang string, phrase string, n long"
 
 
-def _cells(size: int, found) -> pa.RecordBatch:
-    a, b, n = found
+def _cells(size: int, left: np.ndarray, right: np.ndarray, n: np.ndarray):
+    """Counted phrases as word ids, in small batches: two words, or the codes of a pair and a
+    word, or of two pairs."""
+    for start in range(0, len(n), _OUT):
+        part = slice(start, start + _OUT)
+        yield _cell_batch(size, left[part], right[part], n[part])
+
+
+def _cell_batch(size: int, left: np.ndarray, right: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    low = np.int64(2 ** 32 - 1)
+    ids = [left, right] if size == 2 else [left >> _SHIFT, left & low, right] if size == 3 else [
+        left >> _SHIFT, left & low, right >> _SHIFT, right & low]
+    none = [pa.nulls(len(n), pa.int32())] * (4 - size)
     return pa.RecordBatch.from_arrays([
-        pa.array(np.full(len(a), size, np.int32)), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)),
-        pa.nulls(len(a), pa.string()), pa.nulls(len(a), pa.string()), pa.array(n.astype(np.int64))],
-        names=["size", "a", "b", "lang", "phrase", "n"])
+        pa.array(np.full(len(n), size, np.int32)), *(pa.array(i.astype(np.int32)) for i in ids), *none,
+        pa.nulls(len(n), pa.string()), pa.nulls(len(n), pa.string()), pa.array(n.astype(np.int64))],
+        names=["size", "a", "b", "c", "d", "lang", "phrase", "n"])
 
 
 def _phrases(words: Words, at: np.ndarray, size: int) -> pa.RecordBatch:
@@ -238,14 +285,14 @@ def _phrases(words: Words, at: np.ndarray, size: int) -> pa.RecordBatch:
         counts[key] = counts.get(key, 0) + 1
     own = list(counts)
     return pa.RecordBatch.from_arrays([
-        pa.array(np.full(len(own), size, np.int32)), pa.nulls(len(own), pa.int32()), pa.nulls(len(own), pa.int32()),
+        pa.array(np.full(len(own), size, np.int32)), *[pa.nulls(len(own), pa.int32())] * 4,
         pa.array([k[0] for k in own], pa.string()), pa.array([k[1] for k in own], pa.string()),
-        pa.array([counts[k] for k in own], pa.int64())], names=["size", "a", "b", "lang", "phrase", "n"])
+        pa.array([counts[k] for k in own], pa.int64())], names=["size", "a", "b", "c", "d", "lang", "phrase", "n"])
 
 
 def _word_pass(batches):
     """(lang, word, n) of every step, and (lang, null, words) in all."""
-    for step in text_steps(batches):
+    for step in text_steps(batches, _STEP):
         w = Words(step)
         langs = pa.array(w.langs, pa.string())
         n = np.bincount(w.combo, minlength=len(w.key))
@@ -258,53 +305,67 @@ def _word_pass(batches):
 def _pair_pass(units):
     def run(batches):
         tiles = PairTiles()
-        for step in text_steps(batches):
+        for step in text_steps(batches, _STEP):
             w = Words(step)
             code = word_codes(w, units.value)
             a, b = code[:-1], code[1:]
             both = w.same & (a != -1) & (b != -1)
-            dense = both & (a >= 0) & (b >= 0)
-            for found in tiles.add(a[dense], b[dense]):
-                yield _cells(2, found)
+            known = both & (a >= 0) & (b >= 0)
+            for found in tiles.add(a[known], b[known]):
+                yield from _cells(2, *found)
             if units.value.bits is not None:
-                yield _phrases(w, np.flatnonzero(both & ~dense), 2)
+                yield _phrases(w, np.flatnonzero(both & ~known), 2)
         for found in tiles.rest():
-            yield _cells(2, found)
+            yield from _cells(2, *found)
+        release_memory()
     return run
 
 
-def _long_pass(units, pairs, beyond):
+def _long_pass(units, pairs):
     def run(batches):
-        three, four = PairTiles(1_000_000, 2_000_000, 6), PairTiles(1_000_000, 2_000_000, 6)
-        for step in text_steps(batches):
+        ranked = pairs.value.ranked
+        # by size: tiles of (pair id, word id) and (pair id, pair id), and the list of what has no ids
+        counters = {size: (PairTiles(400_000, 800_000, 4), WidePairs()) for size in (3, 4)}
+
+        def coded(size, rows, columns, n):
+            return _cells(size, ranked[rows], columns if size == 3 else ranked[columns], n)
+
+        for step in text_steps(batches, _STEP):
             w = Words(step)
             code = word_codes(w, units.value)
-            pair = pair_codes(w, code, pairs.value, beyond.value)
-            for size, tiles in ((3, three), (4, four)):
-                n = len(pair) - size + 1
-                if n <= 0:
-                    continue
-                first, rest = pair[:n], code[2:] if size == 3 else pair[2: 2 + n]
+            pair = pair_codes(w, code, pairs.value)
+            for size, (tiles, wide) in counters.items():
+                n = max(len(pair) - size + 1, 0)
+                first, rest = pair[:n], code[2: 2 + n] if size == 3 else pair[2: 2 + n]
                 open_ = (first != -1) & (rest != -1) & (pair[1: 1 + n] != -1)
-                dense = open_ & (first >= 0) & (rest >= 0)
-                for found in tiles.add(first[dense], rest[dense]):
-                    yield _cells(size, found)
-                if not (dense == open_).all():
-                    yield _phrases(w, np.flatnonzero(open_ & ~dense), size)
-        for size, tiles in ((3, three), (4, four)):
+                ids = open_ & (first >= 0) & (rest >= 0)
+                for found in tiles.add(first[ids], rest[ids]):
+                    yield from coded(size, *found)
+                if (ids == open_).all():
+                    continue
+                own = np.all([code[k: k + n] >= 0 for k in range(size)], axis=0)
+                at = np.flatnonzero(open_ & ~ids & own)
+                right = code[at + 2] if size == 3 else _code(code[at + 2], code[at + 3])
+                for found in wide.add(_code(code[at], code[at + 1]), right):
+                    yield from _cells(size, *found)
+                yield _phrases(w, np.flatnonzero(open_ & ~ids & ~own), size)
+        for size, (tiles, wide) in counters.items():
             for found in tiles.rest():
-                yield _cells(size, found)
+                yield from coded(size, *found)
+            for found in wide.rest():
+                yield from _cells(size, *found)
+        release_memory()
     return run
 
 
 def _frequent(cells: DataFrame, least: int) -> DataFrame:
-    return cells.groupBy("size", "a", "b", "lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return cells.groupBy("size", "a", "b", "c", "d", "lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def _head(units: DataFrame, head: int):
-    """At most ``head`` units, the commonest, with their ids by rank (a bounded table on the
-    driver), as a DataFrame too, and the bit filter of the other units (None if there are none).
-    The cut lies between two counts of six leading bits, found in their histogram."""
+def _head(units: DataFrame, head: int, columns: list[str]):
+    """At most ``head`` units, the commonest, by rank on the driver (that many rows of
+    ``columns``), and a DataFrame of the others (None if there are none). The cut lies between
+    two counts of six leading bits, found in their histogram."""
     drop = "greatest(length(bin(n)) - 6, 0)"
     low = F.expr(f"shiftleft(shiftright(n, {drop}), {drop})")
     cut, size = 0, 0
@@ -314,22 +375,12 @@ def _head(units: DataFrame, head: int):
             break
         cut = row["low"]
     whole = size <= head
-    top = (units if whole else units.where(F.col("n") >= cut) if cut else units.limit(0)).toPandas()
-    top = top.sort_values(["n", "lang", "phrase"], ascending=[False, True, True], ignore_index=True)
-    top["id"] = np.arange(len(top), dtype=np.int32)
-    table = units.sparkSession.createDataFrame(top[["id", "lang", "phrase"]], "id int, lang string, phrase string")
-    if whole:
-        return top, table, None
-    beyond = units.where(F.col("n") < cut) if cut else units
-    return top, table, _bits(beyond)
-
-
-def _bits(units: DataFrame) -> np.ndarray:
-    """Bit filter of the units' keys (as ``_key`` makes them)."""
-    return hashed_key_bits(F.crc32(F.concat_ws(" ", "lang", "phrase").cast("binary")), units, _BITS)
+    top = units if whole else units.where(F.col("n") >= cut) if cut else units.limit(0)
+    top = top.select("n", *columns).toPandas().sort_values(["n", *columns], ascending=[False] + [True] * len(columns), ignore_index=True)
+    return top, None if whole else units.where(F.col("n") < cut) if cut else units
 
 
-def phrase_counts(docs: DataFrame, least: int = 30, head: int = 1 << 18, lang_col: str = "lang",
+def phrase_counts(docs: DataFrame, least: int = 30, head: int = 1 << 18, pair_head: int = 1 << 21, lang_col: str = "lang",
                   text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """All phrases of 1 to 4 words with at least ``least`` occurrences: (lang, phrase, size, n),
     and (lang, n) of all words."""
@@ -339,45 +390,41 @@ def phrase_counts(docs: DataFrame, least: int = 30, head: int = 1 << 18, lang_co
                .agg(F.sum("n").alias("n")))
     singles = pin(counted.where(F.col("phrase").isNull() | (F.col("n") >= least)), "words")
     words = singles.where(F.col("phrase").isNotNull())
-    top, word_table, bits = _head(words, head)
+    top, beyond = _head(words, head, ["lang", "phrase"])
+    top["id"] = np.arange(len(top), dtype=np.int32)
     ids: dict = {}
     for i, lang, phrase in zip(top["id"].tolist(), top["lang"], top["phrase"]):
         ids.setdefault(lang, {})[phrase] = i
+    bits = None if beyond is None else hashed_key_bits(F.crc32(F.concat_ws(" ", "lang", "phrase").cast("binary")), beyond, _BITS)
     units = spark.sparkContext.broadcast(Units(ids, bits))
+    table = spark.createDataFrame(top[["id", "lang", "phrase"]], "id int, lang string, phrase string")
+
+    twos = pin(_frequent(rows.mapInArrow(_pair_pass(units), _CELL), least), "pairs")
+    # the frequent pairs are ranked again: their ids are the rows and columns of the next tiles
+    top, beyond = _head(twos.where(F.col("a").isNotNull()), pair_head, ["a", "b"])
+    bits = None if beyond is None else hashed_key_bits(F.col("a").cast("long") * _MIX + F.col("b"), beyond, _BITS)
+    pairs = spark.sparkContext.broadcast(Pairs(top["a"].to_numpy(np.int64), top["b"].to_numpy(np.int64), bits))
+    longer = pin(_frequent(rows.mapInArrow(_long_pass(units, pairs), _CELL), least), "phrases")
+
+    named = _named(twos.unionByName(longer), table)
+    return words.select("lang", "phrase", F.lit(1).alias("size"), "n").unionByName(named), singles.where(
+        F.col("phrase").isNull()).select("lang", "n")
+
 
-    found = _frequent(rows.mapInArrow(_pair_pass(units), _CELL), least)
-    named = _named(found, F.broadcast(word_table), F.broadcast(word_table))
-    twos = pin(named, "pairs")
-    # the frequent pairs of the head, ranked again
-    top2, pair_table, bits2 = _head(twos.where(F.col("a").isNotNull()).select("lang", "phrase", "n", "a", "b"), head)
-    texts = twos.where(F.col("a").isNull()).select("lang", "phrase")
-    if bits is not None and not texts.isEmpty():
-        more = _bits(texts)
-        bits2 = more if bits2 is None else bits2 | more
-    pairs = spark.sparkContext.broadcast(PairIds(top2["a"].to_numpy(np.int64), top2["b"].to_numpy(np.int64)))
-    beyond = spark.sparkContext.broadcast(Units({}, bits2))
-    found = _frequent(rows.mapInArrow(_long_pass(units, pairs, beyond), _CELL), least)
-    threes = _named(found.where("size = 3"), F.broadcast(pair_table), F.broadcast(word_table))
-    fours = _named(found.where("size = 4"), F.broadcast(pair_table), F.broadcast(pair_table))
-    own = ["lang", "phrase", "size", "n"]
-    longer = pin(threes.unionByName(fours).select(*own), "phrases")
-    every = words.withColumn("size", F.lit(1)).select(*own).unionByName(twos.select(*own)).unionByName(longer)
-    return every, singles.where(F.col("phrase").isNull()).select("lang", "n")
-
-
-def _named(found: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """The cells' phrases: the texts of their two units joined by a space."""
-    a = left.select(F.col("id").alias("a"), F.col("lang").alias("la"), F.col("phrase").alias("pa"))
-    b = right.select(F.col("id").alias("b"), F.col("phrase").alias("pb"))
-    return found.join(a, "a", "left").join(b, "b", "left").select(
-        F.coalesce("lang", "la").alias("lang"), F.coalesce("phrase", F.concat_ws(" ", "pa", "pb")).alias("phrase"),
-        "size", "n", "a", "b")
+def _named(found: DataFrame, words: DataFrame) -> DataFrame:
+    """(lang, phrase, size, n): ids replaced by the words of the head, whose size is bounded."""
+    for k in "abcd":
+        own = words.select(F.col("id").alias(f"{k}_id"), F.col("phrase").alias(f"{k}_word"),
+                           *([F.col("lang").alias("id_lang")] if k == "a" else []))
+        found = found.join(F.broadcast(own), F.col(k) == F.col(f"{k}_id"), "left")
+    return found.select(F.coalesce("lang", "id_lang").alias("lang"), F.coalesce("phrase", F.concat_ws(
+        " ", *[f"{k}_word" for k in "abcd"])).alias("phrase"), "size", "n")
 
 
 # ---------------------------------------------------------------- scores
 
 def collocations(docs: DataFrame, least: int = 30, top: int = 2000, cover: int = 80, head: int = 1 << 18,
-                 lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+                 pair_head: int = 1 << 21, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """The ``top`` collocations of each language: lang, rank, phrase, a, l, r, n, score.
 
     A null text counts as empty and a null lang as ``und``; rows without words give nothing,
@@ -386,7 +433,8 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, cover: int =
     as Arrow itself holds it. Only the two named columns are read. Every score, and the
     test against longer phrases, is whole-number arithmetic in 38 digits.
     """
-    counts, totals = phrase_counts(docs, least, head, lang_col, text_col)
+    counts, totals = phrase_counts(docs, least, head, pair_head, lang_col, text_col)
+    counts = pin(counts, "phrase-counts")
     many = counts.where("size > 1")
     split = F.split("phrase", " ")
     cuts = (many.select("lang", "phrase", F.col("n").alias("a"), F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"),
@@ -410,7 +458,7 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, cover: int =
     kept = (best.join(around, (F.col("lang") == F.col("clang")) & (F.col("phrase") == F.col("inner")), "left")
             .where(~wide).select("lang", "phrase", "a", "l", "r", "score"))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(64))
+    salt = F.pmod(F.xxhash64("phrase"), F.lit(16))
     first = kept.withColumn("salt", salt).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order)))
     first = first.where(F.col("rank") <= top).drop("rank", "salt")
     ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from quiver.llm.collocations import PairTiles, collocations
+from quiver.llm.collocations import PairTiles, WidePairs, collocations
 
 
 def _brute(rows, least, top, cover):
@@ -67,10 +67,10 @@ def test_matches_a_plain_count(spark):
     assert _run(spark, rows, least=6, top=40) == want
 
 
-@pytest.mark.parametrize("head", [0, 3, 7, 25])
-def test_a_small_head_changes_nothing(spark, head):
+@pytest.mark.parametrize("head, pair_head", [(0, 9), (3, 2), (7, 0), (25, 5), (100, 0)])
+def test_small_heads_change_nothing(spark, head, pair_head):
     rows = _texts(2)
-    assert _run(spark, rows, least=5, top=1000, head=head) == _brute([(g, t) for _, g, t in rows], 5, 1000, 80)
+    assert _run(spark, rows, least=5, top=1000, head=head, pair_head=pair_head) == _brute([(g, t) for _, g, t in rows], 5, 1000, 80)
 
 
 def test_tables_without_phrases(spark):
@@ -95,6 +95,18 @@ def test_tiles_count_exactly_and_hand_out():
     assert total == Counter(zip(a.tolist(), b.tolist()))
 
 
+def test_wide_pairs_count_exactly_and_hand_out():
+    rng = np.random.default_rng(1)
+    a, b = rng.integers(0, 40, 50_000) << 40, rng.integers(0, 30, 50_000)
+    wide, total = WidePairs(buffer=3000, listed=500), Counter()
+    for i in range(0, len(a), 1000):
+        for x, y, n in wide.add(a[i: i + 1000], b[i: i + 1000]):
+            total.update(dict(zip(zip(x.tolist(), y.tolist()), n.tolist())))
+    for x, y, n in wide.rest():
+        total.update(dict(zip(zip(x.tolist(), y.tolist()), n.tolist())))
+    assert total == Counter(zip(a.tolist(), b.tolist())) and list(wide.rest()) == []
+
+
 def test_scores_beyond_64_bits(spark):
     from quiver.llm.collocations import _floor_ratio
 
