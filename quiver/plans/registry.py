@@ -36,7 +36,7 @@ def plan(name: str, sql: str | None = None):
 
 PLAN_MODULES = ("playlists", "purchases", "profiles", "features", "metrics_plans", "vectors",
                 "annotations", "recs_plans", "experiments_plans", "text_plans", "learning_plans",
-                "sources_plans")
+                "sources_plans", "names_plans")
 
 
 def all_plans() -> dict[str, Plan]:

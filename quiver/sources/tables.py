@@ -99,6 +99,12 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_chars").alias("score_raw"), score.alias("score"), "lang")
 
 
+# --- P1 names: a document's title (its text up to the first period or line end) names a track ---
+def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", F.regexp_extract("text", r"^[^.\n]*", 0).alias("title"))
+
+
 # --- P1 vectors ---
 def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "embeddings")
