@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -55,6 +55,37 @@ def playlist_sequences(playlists: DataFrame, min_len: int = 3) -> DataFrame:
     )
 
 
+def last_pairs(df: DataFrame, key: str, order_col: str, value_col: str, min_len: int = 3) -> DataFrame:
+    """P05 without the sequences: (key, x_last, y), the last two values of every key by
+    ``order_col`` (unique per key), for keys of at least ``min_len`` (2 or more) rows.
+
+    Only a key's last ``min_len`` rows are ever needed. Spark limits each task's rows to that
+    number per key before they are shuffled, so a key with any share of all rows sends
+    ``min_len`` rows per task and no list is built."""
+    newest = Window.partitionBy(key).orderBy(F.desc(order_col))
+    top = (df.select(key, order_col, value_col).withColumn("_n", F.row_number().over(newest))
+           .where(F.col("_n") <= max(min_len, 2)))
+    last = top.groupBy(key).agg(F.max(F.when(F.col("_n") == 1, F.col(value_col))).alias("y"),
+                                F.max(F.when(F.col("_n") == 2, F.col(value_col))).alias("x_last"),
+                                F.max("_n").alias("_len"))
+    return last.where(F.col("_len") >= max(min_len, 2)).select(key, "x_last", "y")
+
+
+def next_pairs(df: DataFrame, key: str, order_col: str, value_col: str, chunk_size: int = 100_000) -> DataFrame:
+    """(item, next_item, n): how often an item follows another in a key's order, from chunk rows:
+    neighbours inside a chunk, and the last of a chunk with the first of the next one."""
+    chunks = ordered_chunks(df, key, order_col, [value_col], chunk_size)
+    items = F.col(f"{value_col}_list")
+    inside = chunks.select(F.explode(F.arrays_zip(F.slice(items, 1, F.size(items) - 1).alias("a"),
+                                                  F.slice(items, 2, F.size(items)).alias("b"))).alias("p")).select("p.*")
+    ends = chunks.select(key, "chunk", items[0].alias("first"), F.element_at(items, -1).alias("last"))
+    after = ends.select(F.col(key).alias("_key"), (F.col("chunk") - 1).alias("_chunk"), F.col("first").alias("b"))
+    across = ends.join(after, ends[key].eqNullSafe(F.col("_key")) & (F.col("chunk") == F.col("_chunk"))).select(
+        F.col("last").alias("a"), "b")
+    both = inside.toDF("item", "next_item").unionByName(across.toDF("item", "next_item"))
+    return both.groupBy("item", "next_item").agg(F.count(F.lit(1)).alias("n"))
+
+
 def flatten_items(df: DataFrame, list_col: str, item_name: str = "item") -> DataFrame:
     """One bag of items from a list column."""
     return df.select(F.explode(list_col).alias(item_name))

@@ -17,7 +17,8 @@ from quiver.streaming.score_stream import stream_score
 
 
 def _seq_split(spark, sf):
-    return sampling.positional_split(_sequences(spark, sf), "playlist_id", (0.7, 0.9), seed=42)
+    s = sampling.positional_split(_sequences(spark, sf), "playlist_id", (0.7, 0.9), seed=42)
+    return s.withColumn("x_last", F.element_at("track_test_x", -1))
 
 
 @plan("item_embeddings")

@@ -18,6 +18,11 @@ def _sequences(spark, sf):
     return sequences.playlist_sequences(_playlists(spark, sf))
 
 
+def _pairs(spark, sf):
+    """(playlist_id, x_last, track_test_y) of the playlists with more than two rows."""
+    return sequences.last_pairs(_playlists(spark, sf), "playlist_id", "row_id", "track_id").withColumnRenamed("y", "track_test_y")
+
+
 @plan("playlist_ids", with_(PLAYLISTS) + " SELECT * FROM playlists")
 def q_playlist_ids(spark, sf):
     """All columns plus playlist_id and track_id."""
@@ -38,6 +43,36 @@ def q_playlist_sequences(spark, sf):
                     arr_text("track_test_x").alias("track_test_x"), "track_test_y")
 
 
+@plan("last_pairs", with_(SEQUENCES) + """
+SELECT playlist_id, track_sequence[-2] AS x_last, track_sequence[-1] AS track_test_y FROM seqs""")
+def q_last_pairs(spark, sf):
+    """The last input track and the held-out track of every playlist, without its list."""
+    return _pairs(spark, sf)
+
+
+CHUNK = 1000
+
+
+@plan("playlist_chunks", with_(PLAYLISTS) + f""",
+placed AS (SELECT *, row_number() OVER (PARTITION BY playlist_id ORDER BY row_id) - 1 AS pos FROM playlists)
+SELECT playlist_id, pos // {CHUNK} AS chunk, string_agg(artist, '>' ORDER BY pos) AS artists,
+       string_agg(track_id, '>' ORDER BY pos) AS tracks
+FROM placed GROUP BY playlist_id, pos // {CHUNK}""")
+def q_playlist_chunks(spark, sf):
+    """Every playlist's ordered list in chunks of at most 1,000 rows."""
+    c = sequences.ordered_chunks(_playlists(spark, sf), "playlist_id", "row_id", ["artist", "track_id"], CHUNK)
+    return c.select("playlist_id", "chunk", arr_text("artist_list").alias("artists"), arr_text("track_id_list").alias("tracks"))
+
+
+@plan("next_pairs", with_(PLAYLISTS) + """,
+n AS (SELECT track_id AS item, lead(track_id) OVER (PARTITION BY playlist_id ORDER BY row_id) AS next_item,
+             lead(row_id) OVER (PARTITION BY playlist_id ORDER BY row_id) AS more FROM playlists)
+SELECT item, next_item, COUNT(*) AS n FROM n WHERE more IS NOT NULL GROUP BY item, next_item""")
+def q_next_pairs(spark, sf):
+    """How often a track follows another in a playlist, counted over chunk rows."""
+    return sequences.next_pairs(_playlists(spark, sf), "playlist_id", "row_id", "track_id", CHUNK)
+
+
 @plan("distinct_counts", with_(PLAYLISTS) + """
 SELECT COUNT(DISTINCT row_id) AS n_row_id, COUNT(DISTINCT user_id) AS n_user_id,
        COUNT(DISTINCT track_id) AS n_track_id, COUNT(DISTINCT playlist_id) AS n_playlist_id,

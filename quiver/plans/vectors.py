@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quiver.functions.common import arr_text, r6, round_even
 from quiver.functions import vectors as vf
 from quiver.operators import knn, metrics
-from quiver.plans.playlists import _sequences
+from quiver.plans.playlists import _pairs
 from quiver.plans.registry import plan
 from quiver.plans.sqlparts import SEQUENCES, VECTORS, with_
 from quiver.sources.tables import item_vectors
@@ -48,7 +48,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, item_id, score, rank FROM ranked WHERE rank <= 10""")
 def q_topk_dot(spark, sf):
     """Inner-product top-10 for every target track, self kept, unknown -> zero vector."""
-    targets = _sequences(spark, sf).select(F.col("track_test_y").alias("query_id")).distinct()
+    targets = _pairs(spark, sf).select(F.col("track_test_y").alias("query_id")).distinct()
     return knn.topk_dot(item_vectors(spark, sf), targets, k=10)
 
 
@@ -78,7 +78,7 @@ hits AS (SELECT c.playlist_id, c.query_item, c.track_test_y, p.predictions,
 SELECT playlist_id, query_item, track_test_y, array_to_string(predictions, '>') AS predictions, hit FROM hits""")
 def q_next_track(spark, sf):
     """Last input item -> 10 nearest tracks; hit when the held-out track is among them."""
-    nt = knn.next_track(_sequences(spark, sf), item_vectors(spark, sf), k=10)
+    nt = knn.next_track(_pairs(spark, sf), item_vectors(spark, sf), k=10)
     return nt.select("playlist_id", "query_item", "track_test_y", arr_text("predictions").alias("predictions"),
                      metrics.hit("predictions", "track_test_y").alias("hit"))
 
@@ -87,7 +87,7 @@ def q_next_track(spark, sf):
 SELECT round(avg(hit::DOUBLE), 6) AS hit_rate, COUNT(*) AS n FROM hits""")
 def q_hit_rate(spark, sf):
     """Hit rate@100 of next-track prediction over all sequences."""
-    nt = knn.next_track(_sequences(spark, sf), item_vectors(spark, sf), k=100)
+    nt = knn.next_track(_pairs(spark, sf), item_vectors(spark, sf), k=100)
     hr = metrics.hit_rate(nt, "predictions", "track_test_y")
     return hr.select(r6("hit_rate").alias("hit_rate"), "n")
 
