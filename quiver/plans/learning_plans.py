@@ -6,8 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quiver.operators import experiments, features, knn, learn, metrics, profile, recs, sampling
-from quiver.plans.playlists import _sequences
+from quiver.operators import experiments, factor, features, knn, learn, metrics, profile, ranking, recs, sampling
+from quiver.plans.playlists import _pairs, _playlists, _sequences
 from quiver.plans.purchases import split_table
 from quiver.plans.registry import plan
 from quiver.plans.text_plans import _split_reviews, fitted_model
@@ -40,6 +40,33 @@ def q_w2v_hit_rate(spark, sf):
     return metrics.hit_rate(nt, "predictions", "track_test_y")
 
 
+def _pair_split(spark, sf):
+    return sampling.positional_split(_pairs(spark, sf), "playlist_id", (0.7, 0.9), seed=42)
+
+
+def _train_vectors(spark, sf, split):
+    train = split.filter(F.col("split") == "train").select("playlist_id")
+    rows = _playlists(spark, sf).select("playlist_id", "row_id", "track_id").join(train, "playlist_id", "left_semi")
+    return factor.cooccurrence_embeddings(rows, "playlist_id", "row_id", "track_id", vector_size=48, window=10, min_count=3)
+
+
+@plan("cooccurrence_embeddings")
+def q_cooccurrence_embeddings(spark, sf):
+    """48-dim track vectors from windowed co-occurrence of the train split's playlists,
+    factored without a driver-side vocabulary."""
+    return _train_vectors(spark, sf, _pair_split(spark, sf))
+
+
+@plan("cooccurrence_hit_rate")
+def q_cooccurrence_hit_rate(spark, sf):
+    """L01+L02+M09: hit rate@100 of next-track prediction over the validation playlists with
+    the co-occurrence vectors."""
+    split = ranking.pin(_pair_split(spark, sf))
+    vec = ranking.pin(_train_vectors(spark, sf, split))
+    nt = knn.next_track(split.filter(F.col("split") == "validate"), vec, k=100)
+    return metrics.hit_rate(nt, "predictions", "track_test_y")
+
+
 @plan("grid_results")
 def q_grid_results(spark, sf):
     """Grid over Word2Vec's min_count (3, 5, 10): item vectors are trained
