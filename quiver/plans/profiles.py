@@ -87,7 +87,7 @@ def q_nested_scale(spark, sf):
     return scaled.select("vec_id", *sums)
 
 
-@plan("powerlaw_fit", with_(PLAYLISTS) + """,
+POWERLAW = """,
 f AS (SELECT track_id, count(*) AS x FROM playlists GROUP BY track_id),
 coc AS (SELECT x, count(*) AS m FROM f GROUP BY x),
 cand AS (SELECT x AS xmin FROM coc WHERE x < (SELECT max(x) FROM coc)),
@@ -97,7 +97,10 @@ cdf AS (SELECT t.xmin, sum(t.m) OVER (PARTITION BY t.xmin ORDER BY t.x) / fit.n
                1 - pow((t.x + 0.5) / (t.xmin - 0.5), 1 - fit.alpha) AS fitc
         FROM tail t JOIN fit ON t.xmin = fit.xmin),
 ks AS (SELECT xmin, max(abs(emp - fitc)) AS ks FROM cdf GROUP BY xmin),
-res AS (SELECT fit.xmin, fit.n AS n_tail, fit.alpha, ks.ks FROM fit JOIN ks ON fit.xmin = ks.xmin)
+res AS (SELECT fit.xmin, fit.n AS n_tail, fit.alpha, ks.ks FROM fit JOIN ks ON fit.xmin = ks.xmin)"""
+
+
+@plan("powerlaw_fit", with_(PLAYLISTS) + POWERLAW + """
 SELECT xmin, n_tail, round(alpha, 6) AS alpha, round(ks, 6) AS ks,
        xmin = (SELECT arg_min(xmin, (ks, xmin)) FROM res) AS is_best FROM res""")
 def q_powerlaw_fit(spark, sf):
@@ -107,3 +110,13 @@ def q_powerlaw_fit(spark, sf):
     f = _playlists(spark, sf).groupBy("track_id").agg(F.count(F.lit(1)).alias("x"))
     p = powerlaw_fit(f, "x")
     return p.select("xmin", "n_tail", r6("alpha").alias("alpha"), r6("ks").alias("ks"), "is_best")
+
+
+@plan("powerlaw_best", with_(PLAYLISTS) + POWERLAW + """
+SELECT xmin, n_tail, round(alpha, 6) AS alpha, round(ks, 6) AS ks FROM res ORDER BY res.ks, xmin LIMIT 1""")
+def q_powerlaw_best(spark, sf):
+    """The best power-law fit of track frequencies, found by bounds on the KS distance."""
+    from quiver.operators.powerlaw import best_powerlaw
+
+    f = _playlists(spark, sf).groupBy("track_id").agg(F.count(F.lit(1)).alias("x"))
+    return best_powerlaw(f, "x").select("xmin", "n_tail", r6("alpha").alias("alpha"), r6("ks").alias("ks"))
