@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quiver.operators import sampling
 from quiver.plans.registry import plan
+from quiver.plans.sqlparts import BOXES, IMAGES, with_
 from quiver.session import shared_path
 from quiver.sources import files
 from quiver.sources.tables import annotation_boxes, annotation_images, read_glob, read_table
@@ -78,6 +79,33 @@ def q_annotations_json(spark, sf):
     return files.read_annotation_json(spark, path)
 
 
+@plan("annotation_objects", with_(IMAGES, BOXES) + """,
+b AS (SELECT image_key, count(*) AS n_boxes, sum(w) AS width,
+             string_agg(label, '>' ORDER BY box_pos, x, y, w, h, label) AS labels FROM boxes GROUP BY image_key)
+SELECT i.name, i.target, b.n_boxes, round(b.width, 6) AS width, b.labels, i.leading_hand, i.user_id
+FROM images i JOIN b ON b.image_key = i.image_key""")
+def q_annotation_objects(spark, sf):
+    """One large JSON object per class, read back in byte ranges, one row per image."""
+    path = shared_path(spark, "annotation-objects")
+    files.write_annotation_objects(annotation_boxes(spark, sf), annotation_images(spark, sf), path)
+    a = files.read_annotation_json(spark, path, whole_file=True)
+    width = F.aggregate(F.transform("bboxes", lambda b: b[2]), F.lit(0.0), lambda x, y: x + y)
+    return a.select("name", "target", F.size("bboxes").cast("long").alias("n_boxes"), F.round(width, 6).alias("width"),
+                    F.array_join("labels", ">").alias("labels"), "leading_hand", "user_id")
+
+
+@plan("csv_multiline", """
+SELECT conv_id, turn, role, role || chr(10) || coalesce(text, '') AS text FROM conversations""")
+def q_csv_multiline(spark, sf):
+    """CSV with line ends, commas and quotes inside quoted fields, read in byte ranges."""
+    c = read_table(spark, sf, "conversations")
+    text = F.concat(F.col("role"), F.lit("\n"), F.coalesce("text", F.lit("")))
+    quoted = F.concat(F.lit('"'), F.regexp_replace(text, '"', '""'), F.lit('"'))
+    path = shared_path(spark, "multiline-csv")
+    c.select(F.concat_ws(",", F.col("conv_id").cast("string"), F.col("turn").cast("string"), "role", quoted).alias("value")).write.text(path)
+    return files.read_csv_tolerant(spark, path, CONV_HEADER, types={"conv_id": "bigint", "turn": "bigint"}, multi_line=True)
+
+
 @plan("feature_rows")
 def q_feature_rows(spark, sf):
     """Item arrays as ML feature vectors with a double label."""

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quiver.sources import ranges
+
 # a delimiter outside double quotes (quote-aware field split)
 _SPLIT_OUTSIDE_QUOTES = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
@@ -31,8 +33,9 @@ def read_csv_tolerant(spark: SparkSession, path: str, header_line: str | None =
 
     Without ``header_line`` every file starts with a header line, which names the
     columns; with it the files hold data only, and no line is taken for a header.
-    ``multi_line`` allows line ends inside quotes (a file is then read by one task).
-    Spark's CSV source marks records of the wrong width; only their fields are
+    ``multi_line`` allows line ends inside quotes; a file is still read in byte ranges by
+    many tasks (``ranges``), and every record equal to the header is then left out.
+    Spark's CSV parser marks records of the wrong width; only their fields are
     counted, with a quote-aware split.
     """
     own_header = header_line is None
@@ -40,8 +43,15 @@ def read_csv_tolerant(spark: SparkSession, path: str, header_line: str | None =
         header_line = spark.read.text(path).filter(F.col("value") != "").limit(1).collect()[0][0]
     names = [n.strip().strip('"') for n in header_line.split(",")]
     ddl = ", ".join(f"`c{i}` string" for i in range(len(names))) + ", `_wrong` string"
-    raw = spark.read.csv(path, schema=ddl, header=own_header, multiLine=multi_line, mode="PERMISSIVE",
-                         columnNameOfCorruptRecord="_wrong", escape='"')
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_wrong", "escape": '"'}
+    if multi_line:
+        records = ranges.read_records(spark, path, ranges.CsvRecords()).select(F.regexp_replace("record", "\r$", "").alias("r"))
+        records = records.where(F.col("r") != "")
+        if own_header:
+            records = records.where(F.col("r") != header_line)
+        raw = records.select(F.from_csv("r", ddl, options).alias("c")).select("c.*")
+    else:
+        raw = spark.read.csv(path, schema=ddl, header=own_header, **options)
     n_fields = F.size(F.split("_wrong", _SPLIT_OUTSIDE_QUOTES, -1))
     kept = raw.filter(F.col("_wrong").isNull() | (n_fields <= len(names)))
     out = kept.drop("_wrong").toDF(*names)
@@ -83,15 +93,38 @@ def write_annotation_json(boxes: DataFrame, images: DataFrame, path: str) -> str
     return path
 
 
+def write_annotation_objects(boxes: DataFrame, images: DataFrame, path: str) -> str:
+    """Annotations as one JSON object per class, in one file per class folder: the entries of
+    ``write_annotation_json`` between braces, with commas, indented over several lines."""
+    lines = write_annotation_json(boxes, images, path + "-lines")
+    entries = images.sparkSession.read.text(lines).select("target", F.expr("substring(value, 2, length(value) - 2)").alias("value"))
+    rows = entries.select("target", F.lit(1).alias("_o"), "value")
+    first = rows.groupBy("target").agg(F.min("value").alias("_first"))
+    rows = rows.join(first, "target").select("target", "_o", F.when(F.col("value") == F.col("_first"), F.col("value")).otherwise(
+        F.concat(F.lit(", "), F.col("value"))).alias("value"), (F.col("value") != F.col("_first")).cast("int").alias("_later"))
+    ends = first.select("target", F.explode(F.array(F.struct(F.lit(0).alias("_o"), F.lit("{").alias("value")),
+                                                    F.struct(F.lit(2).alias("_o"), F.lit("}").alias("value")))).alias("e"),
+                        ).select("target", "e._o", "e.value", F.lit(0).alias("_later"))
+    (rows.unionByName(ends).repartition("target").sortWithinPartitions("target", "_o", "_later", "value")
+     .select("target", "value").write.partitionBy("target").text(path))
+    return path
+
+
 def read_annotation_json(spark: SparkSession, path: str, whole_file: bool = False,
                          targets: list[str] | None = None) -> DataFrame:
     """Annotation objects keyed by image name -> one row per image with
     ``name = key + '.jpg'`` and ``target`` = the class (file stem or class folder).
 
-    ``whole_file=True`` reads each file as one JSON document (the original
-    one-object-per-class layout); otherwise each line is an object. Classes
-    without a file are simply absent; ``targets`` keeps only the listed ones."""
-    raw = spark.read.text(path, wholetext=whole_file).select("value", F.col("_metadata.file_path").alias("_path"))
+    ``whole_file=True`` reads files that are one JSON object each (the original
+    one-object-per-class layout), in byte ranges by many tasks; otherwise each line is an
+    object. Classes without a file are simply absent; ``targets`` keeps only the listed ones."""
+    if whole_file:
+        entries = ranges.read_records(spark, path, ranges.JsonEntries())
+        body = F.regexp_replace("record", r"^\s*[{,]\s*", "")
+        raw = entries.select(F.concat(F.lit("{"), body, F.lit("}")).alias("value"), F.col("file").alias("_path")).where(
+            F.col("value").contains('"'))
+    else:
+        raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_path"))
     folder = F.regexp_extract("_path", r"target=([^/]+)/", 1)
     stem = F.regexp_extract("_path", r"([^/]+)\.json$", 1)
     target = F.when(folder != "", F.url_decode(folder)).otherwise(stem)
