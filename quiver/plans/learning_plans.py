@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quiver.operators import experiments, factor, features, knn, learn, metrics, profile, ranking, recs, sampling
+from quiver.operators import boosting, experiments, factor, features, knn, learn, metrics, profile, ranking, recs, sampling
 from quiver.plans.playlists import _pairs, _playlists, _sequences
 from quiver.plans.purchases import split_table
 from quiver.plans.registry import plan
@@ -168,6 +168,15 @@ def q_gbt_cv(spark, sf):
     return experiments.fold_stats(scores)
 
 
+@plan("boosted_softmax_cv")
+def q_boosted_softmax_cv(spark, sf):
+    """One boosted model over three classes (10 rounds, softmax loss), 5-fold accuracy."""
+    e = read_table(spark, sf, "embeddings")
+    d = e.select("vec_id", (F.col("label") % 3).alias("label"), F.col("embedding").alias("features"))
+    folds = sampling.kfold(d, "label", "vec_id", k=5, seed=42)
+    return experiments.fold_stats(boosting.kfold_boosted(folds, "features", "label", "fold", classes=3, k=5, rounds=10))
+
+
 @plan("mlp_baseline")
 def q_mlp_baseline(spark, sf):
     """Fully connected 64-64-10 network; accuracy on the held-out fold 0."""
