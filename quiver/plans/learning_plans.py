@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quiver.operators import boosting, experiments, factor, features, knn, learn, metrics, profile, ranking, recs, sampling
+from quiver.operators import boosting, experiments, factor, features, knn, layout, learn, metrics, profile, ranking, recs, sampling
 from quiver.plans.playlists import _pairs, _playlists, _sequences
 from quiver.plans.purchases import split_table
 from quiver.plans.registry import plan
@@ -210,13 +210,25 @@ def q_stream_batch_score(spark, sf):
     return spark.read.parquet(sink)
 
 
-@plan("project_2d")
-def q_project_2d(spark, sf):
-    """2-D PCA of the vectors of the 250 most common tracks and of the tracks that
-    'error' playlists add to them."""
+def _shown_vectors(spark, sf):
+    """Vectors of the 250 most common tracks and of the tracks that 'error' playlists add."""
     seqs = _sequences(spark, sf)
     top = profile.most_common(seqs.select(F.explode("track_sequence").alias("item_id")), "item_id", 250)
     tagged = seqs.filter(F.col("playlist_id").contains("error")).select(F.explode("track_sequence").alias("item_id"))
     vec = item_vectors(spark, sf)
     shown = recs.extend_items(top.select("item_id"), tagged, vec.select("item_id"), "item_id")
-    return learn.project_2d(vec.join(shown, "item_id", "left_semi"))
+    return vec.join(shown, "item_id", "left_semi")
+
+
+@plan("project_2d")
+def q_project_2d(spark, sf):
+    """2-D PCA of the vectors of the 250 most common tracks and of the tracks that
+    'error' playlists add to them."""
+    return learn.project_2d(_shown_vectors(spark, sf))
+
+
+@plan("neighbour_map")
+def q_neighbour_map(spark, sf):
+    """The same tracks on a 2-D map that keeps their nearest neighbours, started from PCA."""
+    shown = ranking.pin(_shown_vectors(spark, sf).select("item_id", "vec"))
+    return layout.neighbour_map(shown, learn.project_2d(shown))
