@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,21 +39,45 @@ def playlist_names(playlists: DataFrame, id_col: str = "playlist_id") -> DataFra
     return playlists.select(name.alias("playlist_name")).distinct()
 
 
+def keyword_grams(words: list[str], longest: int = 3) -> list[tuple[str, str, int]]:
+    """(gram, word, priority) of every different keyword, first occurrence first: of its grams
+    of ``longest`` letters the one that fewest keywords hold (a shorter word is its own gram)."""
+    first = {}
+    for i, w in enumerate(words):
+        first.setdefault(w, i + 1)
+    grams = {w: {w[i: i + longest] for i in range(max(len(w) - longest, 0) + 1)} for w in first}
+    held = Counter(g for own in grams.values() for g in own)
+    return [(min(grams[w], key=lambda g: (held[g], g)), w, i) for w, i in first.items()]
+
+
+def first_keyword(names: DataFrame, col: str, words: list[str], longest: int = 3) -> DataFrame:
+    """(col, word, priority): for every different name that contains a keyword, the earliest one
+    in ``words``. Names and keywords meet on one gram of the keyword, so the work follows the
+    names' letters and not the number of keywords."""
+    rows = keyword_grams(words, longest)
+    kw = F.broadcast(names.sparkSession.createDataFrame(rows, "_gram string, word string, priority int"))  # the parameter's size
+    sizes = sorted({len(g) for g, _, _ in rows})
+    own = names.select(col).where(F.col(col).isNotNull()).distinct()
+    none = F.array().cast("array<string>")
+
+    def grams(n: int):
+        last = F.length(col) - n + 1
+        every = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substring(col, i, F.lit(n)))
+        return F.when(last >= 1, every).otherwise(none)
+
+    met = own.select(col, F.explode(F.array_distinct(F.concat(none, *map(grams, sizes)))).alias("_gram")).join(kw, "_gram")
+    found = met.where(F.col(col).contains(F.col("word"))).groupBy(col).agg(F.min(F.struct("priority", "word")).alias("_m"))
+    return found.select(col, "_m.word", "_m.priority")
+
+
 def tag_categories(tracks: DataFrame, seqs: DataFrame, words: list[str]) -> DataFrame:
     """Each track is 'unknown' until a playlist whose id contains a
-    keyword holds it; the earliest keyword in ``words`` wins.
-
-    The keyword list is a parameter (a few rows), so it is broadcast.
-    """
-    spark = seqs.sparkSession
-    kw = F.broadcast(spark.createDataFrame([(w, i + 1) for i, w in enumerate(words)],
-                                           "word string, priority int"))
-    hits = (seqs.join(kw, F.col("playlist_id").contains(F.col("word")))
-                .select(F.explode("track_sequence").alias("track_id"), "priority")
+    keyword holds it; the earliest keyword in ``words`` wins."""
+    named = first_keyword(seqs, "playlist_id", words)
+    hits = (seqs.join(named, "playlist_id").select(F.explode("track_sequence").alias("track_id"), "priority", "word")
                 .join(tracks.select("track_id"), "track_id", "left_semi")
-                .groupBy("track_id").agg(F.min("priority").alias("priority")))
-    out = tracks.join(hits, "track_id", "left").join(kw, "priority", "left")
-    return out.select("track_id", F.coalesce("word", F.lit("unknown")).alias("category"))
+                .groupBy("track_id").agg(F.min(F.struct("priority", "word")).alias("_m")))
+    return tracks.join(hits, "track_id", "left").select("track_id", F.coalesce("_m.word", F.lit("unknown")).alias("category"))
 
 
 def class_distribution(df: DataFrame, class_col: str) -> DataFrame:
