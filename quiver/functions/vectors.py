@@ -29,6 +29,12 @@ def scale(a, factor: float) -> Column:
     return F.transform(a, lambda x: x * F.lit(factor))
 
 
+def flatten_image(a, factor: float = 1 / 255) -> Column:
+    """The rows of an image (28 x 28, say) as one flat vector (784), every pixel scaled."""
+    a = F.col(a) if isinstance(a, str) else a
+    return F.transform(F.flatten(a), lambda x: x.cast("double") * F.lit(factor))
+
+
 def nested_scale(a, factor: float) -> Column:
     """Multiply every value of a list of lists."""
     a = F.col(a) if isinstance(a, str) else a
@@ -90,6 +96,17 @@ def class_probabilities(scores: DataFrame, id_col: str, class_col: str, score_co
                     softmax(F.transform("_l", lambda e: e[score_col])).alias("probs"))
 
 
+def argmax_or_guess(df: DataFrame, probs_col: str, classes_col: str, id_col: str, tol: float = 1e-6, seed: int = 42) -> DataFrame:
+    """Arg-max class when the probabilities sum to 1 (within ``tol``), else a class picked by
+    a seeded md5 of the id; ``fallback`` tells which."""
+    from quiver.functions.common import seeded_hash
+
+    checked = argmax_with_check(df, probs_col, classes_col, tol)
+    pick = F.conv(F.substring(seeded_hash([id_col], seed), 1, 8), 16, 10).cast("bigint") % F.size(classes_col)
+    guess = F.element_at(F.col(classes_col), (pick + 1).cast("int"))
+    return checked.withColumns({"fallback": F.col("pred").isNull(), "pred": F.coalesce("pred", guess)})
+
+
 def argmax_with_check(df: DataFrame, probs_col: str, classes_col: str, tol: float = 1e-6) -> DataFrame:
     """Arg-max class when the probabilities sum to 1 (within ``tol``), else NULL."""
     total = F.aggregate(F.col(probs_col), F.lit(0.0), lambda acc, v: acc + v)

@@ -179,8 +179,8 @@ def prepare(df: DataFrame, features_col: str, label_col: str, fold_col: str | No
 
 def kfold_boosted(df: DataFrame, features_col: str, label_col: str, fold_col: str, classes: int, k: int = 5, rounds: int = 10,
                   depth: int = 3, bins: int = 32, **options) -> DataFrame:
-    """(fold, score): accuracy on every fold of the model that learned from the others; all
-    folds are fitted in the same passes. Labels are 0 to classes - 1."""
+    """(fold, score, loss): accuracy and mean log loss on every fold of the model that learned
+    from the others; all folds are fitted in the same passes. Labels are 0 to classes - 1."""
     rows, cuts = prepare(df, features_col, label_col, fold_col, bins)
     trees = fit_boosted(rows, len(cuts), bins, classes, rounds, depth, folds=k, **options)
     shared = rows.sparkSession.sparkContext.broadcast(trees)
@@ -191,8 +191,11 @@ def kfold_boosted(df: DataFrame, features_col: str, label_col: str, fold_col: st
             label = batch.column("label").to_numpy(zero_copy_only=False)
             for m in np.unique(fold[fold >= 0]).tolist():
                 own = fold == m
-                right = shared.value.probabilities(x[own], m).argmax(axis=1) == label[own]
-                yield pa.RecordBatch.from_pydict({"fold": pa.array([m], pa.int32()), "hits": [int(right.sum())], "n": [int(own.sum())]})
-
-    return (rows.mapInArrow(run, "fold int, hits long, n long").groupBy("fold")
-            .agg((F.sum("hits") / F.sum("n")).alias("score")))
+                p = shared.value.probabilities(x[own], m)
+                right = p.argmax(axis=1) == label[own]
+                lost = -np.log(np.maximum(p[np.arange(len(p)), label[own]], 1e-7)).sum()
+                yield pa.RecordBatch.from_pydict({"fold": pa.array([m], pa.int32()), "hits": [int(right.sum())], "lost": [float(lost)],
+                                                  "n": [int(own.sum())]})
+
+    return (rows.mapInArrow(run, "fold int, hits long, lost double, n long").groupBy("fold")
+            .agg((F.sum("hits") / F.sum("n")).alias("score"), (F.sum("lost") / F.sum("n")).alias("loss")))

@@ -149,6 +149,16 @@ def categorical_log_loss(df: DataFrame, probs_col: str, label_col: str) -> DataF
     return df.agg(F.avg(-F.log(p)).alias("log_loss"))
 
 
+def two_head_loss(df: DataFrame, probs_col: str, label_col: str, prob_col: str, flag_col: str) -> DataFrame:
+    """The loss of a model with two heads: categorical cross-entropy of the first plus binary
+    cross-entropy of the second, both means over all rows, in one aggregate."""
+    clip = lambda p: F.least(F.greatest(p, F.lit(EPS)), F.lit(1 - EPS))
+    first = -F.log(clip(F.element_at(F.col(probs_col), (F.col(label_col) + 1).cast("int"))))
+    p = clip(F.col(prob_col))
+    second = -F.log(F.when(F.col(flag_col) == 1, p).otherwise(1 - p))
+    return df.agg(F.avg(first).alias("class_loss"), F.avg(second).alias("flag_loss"), (F.avg(first) + F.avg(second)).alias("loss"))
+
+
 def hit(pred_list_col: str, target_col: str):
     """1 when the target is in the predicted list; a missing list or target is a miss."""
     return F.coalesce(F.array_contains(F.col(pred_list_col), F.col(target_col)).cast("int"), F.lit(0))

@@ -27,6 +27,25 @@ def peek(df: DataFrame, order_col: str, cols: list[str]) -> DataFrame:
     )
 
 
+def head(df: DataFrame, order_cols: list[str], n: int = 5) -> DataFrame:
+    """The first ``n`` rows under a total order (a bounded top-n, not a sort)."""
+    return df.orderBy(*order_cols).limit(n)
+
+
+def shape(df: DataFrame) -> DataFrame:
+    """One row (n_rows, n_columns)."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)))
+
+
+def column_types(df: DataFrame) -> DataFrame:
+    """(position, column_name, dtype, n_values) in column order; ``n_values`` counts
+    non-NULL values, one aggregate for all columns."""
+    counts = df.agg(*[F.count(c).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    each = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit(t).alias("dtype"),
+                              F.col(f"c{i}").alias("n_values")) for i, (c, t) in enumerate(df.dtypes)])
+    return counts.select(F.explode(each).alias("e")).select("e.*")
+
+
 def most_common(df: DataFrame, col: str, n: int, count_col: str = "n") -> DataFrame:
     """Top-n values by count, ties by value; a bounded top-k after a partial count."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias(count_col))

@@ -97,6 +97,24 @@ def q_grid_results(spark, sf):
                       F.when(F.col("min_count") == best_mc, test_hr).alias("test_hit_rate"))
 
 
+@plan("comparison_table")
+def q_comparison_table(spark, sf):
+    """Boosted models of a grid over depth and learning rate, with held-out log loss,
+    accuracy and its spread over the folds, best loss first."""
+    e = read_table(spark, sf, "embeddings")
+    d = e.select("vec_id", (F.col("label") % 3).alias("label"), F.col("embedding").alias("features"))
+    folds = ranking.pin(sampling.kfold(d, "label", "vec_id", k=3, seed=42))
+    rows = None
+    for depth in (1, 2):
+        for rate in (0.1, 0.3):
+            per = boosting.kfold_boosted(folds, "features", "label", "fold", classes=3, k=3, rounds=3, depth=depth, rate=rate)
+            row = per.agg(F.avg("score").alias("accuracy"), F.stddev_pop("score").alias("spread"), F.avg("loss").alias("loss"))
+            row = row.select(F.lit(depth).alias("depth"), F.lit(rate).alias("rate"), "loss", "accuracy", "spread")
+            rows = row if rows is None else rows.unionByName(row)
+    js = experiments.python_json([("depth", F.col("depth")), ("rate", F.col("rate"))])
+    return rows.withColumns({"params": js, "model_name": experiments.param_hash(js)}).orderBy("loss", "params")
+
+
 @plan("als_topk")
 def q_als_topk(spark, sf):
     """Implicit ALS on coded train purchases, top-10 articles per test shopper."""
@@ -206,7 +224,14 @@ def q_stream_batch_score(spark, sf):
     def score(batch):
         return model.score(batch, "doc_id", "text").select("doc_id", F.col("prob").alias("data"))
 
-    stream_score(spark, sf, docs.schema, score, sink, ckpt, glob="documents.parquet")
+    # the table is a file of the folder or a folder of files
+    base = sf.rstrip("/")
+    folder = docs.limit(1).select(F.col("_metadata.file_path").contains("/documents.parquet/").alias("f")).head()
+    inside = folder is not None and folder.f
+    stream_score(spark, f"{base}/documents.parquet" if inside else base, docs.schema, score, sink, ckpt,
+                 glob=None if inside else "documents.parquet")
+    empty = spark.createDataFrame([], "doc_id long, data double")
+    empty.write.parquet(f"{sink}/batch=-1")  # so that a stream without rows has a result
     return spark.read.parquet(sink)
 
 

@@ -92,6 +92,27 @@ def q_profile_counts(spark, sf):
     return profile.peek(_playlists(spark, sf), "row_id", ["playlist_id", "track_id"])
 
 
+@plan("head_rows", with_(PLAYLISTS) + " SELECT * FROM playlists ORDER BY row_id LIMIT 5")
+def q_head_rows(spark, sf):
+    """The first five rows by row id."""
+    return profile.head(_playlists(spark, sf), ["row_id"], 5)
+
+
+@plan("table_shape", "SELECT COUNT(*) AS n_rows, 4 + 3 AS n_columns FROM events")
+def q_table_shape(spark, sf):
+    """Number of rows and columns of the playlist table."""
+    return profile.shape(_playlists(spark, sf))
+
+
+@plan("column_types", with_(PLAYLISTS) + " " + " UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, CASE lower(any_value(typeof({c}))) WHEN 'varchar' THEN 'string' "
+    f"ELSE lower(any_value(typeof({c}))) END AS dtype, count({c}) AS n_values FROM playlists"
+    for i, c in enumerate(["row_id", "user_id", "artist", "track", "playlist", "playlist_id", "track_id"])))
+def q_column_types(spark, sf):
+    """Every column's type and number of values."""
+    return profile.column_types(_playlists(spark, sf))
+
+
 @plan("top_artists", with_(PLAYLISTS) + """
 SELECT artist, COUNT(*) AS n FROM playlists GROUP BY artist ORDER BY n DESC, artist LIMIT 20""")
 def q_top_artists(spark, sf):

@@ -73,18 +73,17 @@ def q_round_even(spark, sf):
 
 
 @plan("nested_scale", """
-SELECT vec_id, """ + ", ".join(
-    f"round(list_sum(list_transform(list_slice(CAST(embedding AS DOUBLE[]), {i * 8 + 1}, {i * 8 + 8}), "
-    f"lambda x: x * 10)), 6) AS s{i}" for i in range(8)) + " FROM embeddings")
+WITH n AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, unnest(range(0, len(embedding), 8)) // 8 AS row FROM embeddings)
+SELECT vec_id, row, round(list_sum(list_transform(list_slice(v, row * 8 + 1, row * 8 + 8), lambda x: x * 10)), 6) AS total FROM n""")
 def q_nested_scale(spark, sf):
-    """Every value of a list of lists x10 (vectors cut into 8 rows of 8), row sums."""
+    """Every value of a list of lists x10 (whole vectors, cut into rows of 8), row sums."""
     e = read_table(spark, sf, "embeddings")
     v = F.col("embedding").cast("array<double>")
-    nested = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice(v, i * 8 + 1, 8))
-    scaled = e.select("vec_id", vf.nested_scale(nested, 10.0).alias("n"))
-    sums = [r6(F.aggregate(F.element_at("n", i + 1), F.lit(0.0), lambda a, x: a + x)).alias(f"s{i}")
-            for i in range(8)]
-    return scaled.select("vec_id", *sums)
+    starts = F.filter(F.sequence(F.lit(0), F.size(v)), lambda i: (i % 8 == 0) & (i < F.size(v)))
+    nested = F.transform(starts, lambda i: F.slice(v, i + 1, F.lit(8)))
+    scaled = e.select("vec_id", F.posexplode(vf.nested_scale(nested, 10.0)).alias("row", "r"))
+    total = F.aggregate("r", F.lit(0.0), lambda a, x: a + x)
+    return scaled.select("vec_id", F.col("row").cast("long").alias("row"), r6(total).alias("total"))
 
 
 POWERLAW = """,

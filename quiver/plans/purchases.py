@@ -184,7 +184,7 @@ def q_union_splits(spark, sf):
     return out
 
 
-@plan("write_splits")
+@plan("write_splits", with_(SPLIT) + " SELECT * FROM split_rows")
 def q_write_splits(spark, sf):
     """Split training frame written as parquet partitioned by split, read back."""
     s = split_rows(spark, sf)

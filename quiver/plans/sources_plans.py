@@ -70,13 +70,19 @@ def q_scan_glob(spark, sf):
     return read_glob(spark, f"{sf.rstrip('/')}/lineite*.parquet")
 
 
-@plan("annotations_json")
+@plan("annotations_json", with_(IMAGES, BOXES) + """,
+b AS (SELECT image_key, count(*) AS n_boxes, string_agg(label, '>' ORDER BY box_pos, x, y, w, h, label) AS labels,
+             round(sum(x + y + w + h), 6) AS total FROM boxes GROUP BY image_key)
+SELECT i.name, i.target, b.n_boxes, b.labels, b.total, i.leading_hand, i.user_id FROM images i JOIN b ON b.image_key = i.image_key""")
 def q_annotations_json(spark, sf):
     """Per-class annotation JSON (written from the annotation tables) read
-    back as one row per image with name and class."""
+    back as one row per image with name, class, its boxes' number, labels and sum."""
     path = shared_path(spark, "annotations-json")
     files.write_annotation_json(annotation_boxes(spark, sf), annotation_images(spark, sf), path)
-    return files.read_annotation_json(spark, path)
+    total = F.aggregate(F.flatten("bboxes"), F.lit(0.0), lambda a, v: a + v)
+    return files.read_annotation_json(spark, path).select(
+        "name", "target", F.size("bboxes").cast("long").alias("n_boxes"), F.array_join("labels", ">").alias("labels"),
+        F.round(total, 6).alias("total"), "leading_hand", "user_id")
 
 
 @plan("annotation_objects", with_(IMAGES, BOXES) + """,
@@ -106,7 +112,14 @@ def q_csv_multiline(spark, sf):
     return files.read_csv_tolerant(spark, path, CONV_HEADER, types={"conv_id": "bigint", "turn": "bigint"}, multi_line=True)
 
 
-@plan("feature_rows")
+@plan("feature_rows", """
+SELECT len(embedding) AS n_features, round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS total, CAST(label AS DOUBLE) AS label
+FROM embeddings""")
 def q_feature_rows(spark, sf):
-    """Item arrays as ML feature vectors with a double label."""
-    return files.feature_rows(read_table(spark, sf, "embeddings"), "embedding", "label")
+    """Item arrays as ML feature vectors with a double label, read back as length and sum."""
+    from pyspark.ml.functions import vector_to_array
+
+    rows = files.feature_rows(read_table(spark, sf, "embeddings"), "embedding", "label")
+    v = vector_to_array("features")
+    total = F.aggregate(v, F.lit(0.0), lambda a, x: a + x)
+    return rows.select(F.size(v).cast("long").alias("n_features"), F.round(total, 6).alias("total"), "label")

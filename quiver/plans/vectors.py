@@ -195,6 +195,61 @@ def q_log_loss(spark, sf):
     return metrics.categorical_log_loss(d, "probs", "_idx").select(r6("log_loss").alias("log_loss"))
 
 
+@plan("two_head_loss", with_(VECTORS, NV, CENTROIDS) + """,
+mx AS (SELECT item_id, max(score) AS m FROM cs GROUP BY item_id),
+e AS (SELECT cs.item_id, cs.truth, cs.cls, exp(cs.score - mx.m) AS e FROM cs JOIN mx USING (item_id)),
+p AS (SELECT item_id, truth, cls, e / sum(e) OVER (PARTITION BY item_id) AS prob FROM e),
+h AS (SELECT item_id, any_value(truth) AS truth, sum(prob) FILTER (cls = truth) AS own, sum(prob) FILTER (cls % 2 = 1) AS odd
+      FROM p GROUP BY item_id),
+c AS (SELECT truth, least(greatest(own, 1e-7), 1 - 1e-7) AS own, least(greatest(coalesce(odd, 0), 1e-7), 1 - 1e-7) AS odd FROM h)
+SELECT round(avg(-ln(own)), 6) AS class_loss, round(avg(-ln(CASE WHEN truth % 2 = 1 THEN odd ELSE 1 - odd END)), 6) AS flag_loss,
+       round(avg(-ln(own)) + avg(-ln(CASE WHEN truth % 2 = 1 THEN odd ELSE 1 - odd END)), 6) AS loss FROM c""")
+def q_two_head_loss(spark, sf):
+    """Class head and binary head (odd class or not), their cross-entropies and the sum."""
+    probs = vf.class_probabilities(_class_scores(spark, sf), "item_id", "cls", "score")
+    pairs = F.arrays_zip(F.col("classes").alias("c"), F.col("probs").alias("p"))
+    odd = F.aggregate(F.filter(pairs, lambda e: e["c"] % 2 == 1), F.lit(0.0), lambda a, e: a + e["p"])
+    truth = item_vectors(spark, sf).select("item_id", "label")
+    d = probs.select("item_id", "classes", "probs", odd.alias("odd")).join(truth, "item_id").select(
+        "probs", "odd", (F.array_position("classes", F.col("label")) - 1).alias("index"), (F.col("label") % 2).alias("flag"))
+    out = metrics.two_head_loss(d, "probs", "index", "odd", "flag")
+    return out.select(*[r6(c).alias(c) for c in out.columns])
+
+
+@plan("flatten_image", """
+SELECT vec_id, len(embedding) AS n_pixels, round(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x / 255)), 6) AS total
+FROM embeddings""")
+def q_flatten_image(spark, sf):
+    """Images of 8-pixel rows flattened to one vector, pixels scaled by 1/255."""
+    from quiver.sources.tables import read_table
+    e = read_table(spark, sf, "embeddings")
+    v = F.col("embedding")
+    starts = F.filter(F.sequence(F.lit(0), F.size(v)), lambda i: (i % 8 == 0) & (i < F.size(v)))
+    image = e.select("vec_id", F.transform(starts, lambda i: F.slice(v, i + 1, F.lit(8))).alias("image"))
+    flat = image.select("vec_id", vf.flatten_image("image").alias("f"))
+    total = F.aggregate("f", F.lit(0.0), lambda a, x: a + x)
+    return flat.select("vec_id", F.size("f").cast("long").alias("n_pixels"), r6(total).alias("total"))
+
+
+@plan("fallback_guess", with_(VECTORS, NV, CENTROIDS) + """,
+mx AS (SELECT item_id, max(score) AS m FROM cs GROUP BY item_id),
+e AS (SELECT cs.item_id, cs.cls, exp(cs.score - mx.m) AS e FROM cs JOIN mx USING (item_id)),
+p AS (SELECT item_id, cls, CASE WHEN cls = 0 THEN 0.0 ELSE e / sum(e) OVER (PARTITION BY item_id) END AS prob FROM e),
+top AS (SELECT item_id, list(cls ORDER BY cls) AS classes, list(prob ORDER BY cls) AS probs, max(prob) AS m, sum(prob) AS total
+        FROM p GROUP BY item_id)
+SELECT item_id, abs(total - 1.0) > 0.1 AS fallback,
+       CASE WHEN abs(total - 1.0) <= 0.1 THEN classes[list_position(probs, m)]
+            ELSE classes[(('0x' || substr(md5(item_id || '42'), 1, 8))::BIGINT % len(classes)) + 1] END AS pred
+FROM top""")
+def q_fallback_guess(spark, sf):
+    """A model that lost class 0: arg-max where the rest still sums to 1 within 0.1, else a
+    seeded guess."""
+    probs = vf.class_probabilities(_class_scores(spark, sf), "item_id", "cls", "score")
+    lost = F.zip_with("classes", "probs", lambda c, p: F.when(c == 0, F.lit(0.0)).otherwise(p))
+    out = vf.argmax_or_guess(probs.select("item_id", "classes", lost.alias("probs")), "probs", "classes", "item_id", tol=0.1)
+    return out.select("item_id", "fallback", "pred")
+
+
 @plan("class_distribution", "SELECT label, COUNT(*) AS n FROM embeddings GROUP BY label")
 def q_class_distribution(spark, sf):
     """Items per class."""

@@ -111,3 +111,44 @@ def test_zero_vector_and_single_class_edges(spark):
     assert model.bias.collect()[0].bias == 0.0
     probs = [r.prob for r in model.score(docs, "doc_id", "review").collect()]
     assert all(0.0 < p < 1.0 for p in probs)
+
+
+def test_stream_scores_a_table_that_is_a_folder(spark, tmp_path):
+    import shutil
+
+    import __spark_entry__ as E
+
+    for t in ("documents", "labels"):
+        docs = spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet")
+        docs.repartition(3 if t == "documents" else 1).write.parquet(str(tmp_path / f"{t}.parquet"))
+    assert E.queries()["stream_batch_score"](spark, str(tmp_path)).count() == spark.read.parquet(
+        "/root/testdata/sf0.001/documents.parquet").count()
+    shutil.rmtree(tmp_path / "documents.parquet")
+
+
+def test_profiles_of_a_frame(spark):
+    from quiver.operators import profile
+
+    df = spark.createDataFrame([(2, "b", None), (1, None, None)], "id int, s string, x double")
+    assert [tuple(r) for r in profile.head(df, ["id"], 1).collect()] == [(1, None, None)]
+    assert profile.shape(df).first().asDict() == {"n_rows": 2, "n_columns": 3}
+    assert [tuple(r) for r in profile.column_types(df).collect()] == [
+        (0, "id", "int", 2), (1, "s", "string", 1), (2, "x", "double", 0)]
+
+
+def test_nested_values_of_any_length_are_scaled(spark, tmp_path):
+    import __spark_entry__ as E
+
+    df = spark.createDataFrame([(1, [1.0] * 100, 0), (2, [2.0] * 3, 1), (3, [], 1), (4, None, 1)],
+                               "vec_id long, embedding array<float>, label int")
+    df.write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = sorted(tuple(r) for r in E.queries()["nested_scale"](spark, str(tmp_path)).collect())
+    assert got == [(1, k, 80.0 if k < 12 else 40.0) for k in range(13)] + [(2, 0, 60.0)]
+
+
+def test_fallback_guess_is_seeded_and_marked(spark):
+    from quiver.functions.vectors import argmax_or_guess
+
+    df = spark.createDataFrame([("a", [0, 1], [0.2, 0.8]), ("b", [0, 1], [0.1, 0.1])], "id string, c array<int>, p array<double>")
+    got = {r.id: (r.fallback, r.pred) for r in argmax_or_guess(df, "p", "c", "id").collect()}
+    assert got["a"] == (False, 1) and got["b"][0] is True and got["b"][1] in (0, 1)
