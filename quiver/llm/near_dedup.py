@@ -37,17 +37,19 @@ _BLOCK_SHIFT = 58
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 40, rows: int = 6,
                     partners: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept.
+    """One row per input row: doc_id, n_shingles, component_id, kept, first.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` after folding A-Z; a text of fewer than ``words``
     words is one shingle; a null, empty or blank text has none and is linked with nothing.
-    component_id is the smallest id reachable over links (null ids sort last); kept means
-    that no row of the component has a smaller id (or of equal ids, null or not, a smaller
-    xxhash64 of its text), so rows that share an id are told apart by their texts and rows
-    that repeat id and text are one node. An empty table gives an empty result. Other
-    columns are ignored.
+    component_id is the smallest id reachable over links (null ids sort last); kept means that
+    it is the row's own id (both null: yes). first means that no row of the component has a
+    smaller id, or of equal ids, null or not, a smaller xxhash64 of its text: rows that share
+    an id are told apart by their texts there, and rows that repeat id and text are one node.
+    An empty table gives an empty result. Other columns are ignored.
     """
-    return _near_duplicates(docs, words, percent, bands, rows, partners, id_col, text_col).drop("key")
+    found = _near_duplicates(docs, words, percent, bands, rows, partners, id_col, text_col)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+                        F.col("kept").alias("first"))
 
 
 def _near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 40, rows: int = 6,

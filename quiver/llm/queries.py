@@ -103,7 +103,7 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents at 4-word shingle similarity of 80 % or more."""
     from quiver.llm.near_dedup import near_duplicates
 
-    return near_duplicates(read_table(spark, sf_dir, "documents"), words=4, percent=80)
+    return near_duplicates(read_table(spark, sf_dir, "documents"), words=4, percent=80).drop("first")
 
 
 OP10_SQL = r"""

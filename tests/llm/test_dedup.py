@@ -294,3 +294,14 @@ def test_repeated_rows_are_one_document(docs_of):
     got = sorted((r.doc_id, r.n_removed) for r in remove_repeats(docs_of(rows)).collect())
     assert got == [(2, 0), (4, 0), (4, 0), (9, 30)]
     assert remove_repeats(docs_of(rows).where("doc_id > 50")).count() == 0
+
+
+def test_kept_is_the_own_id_and_first_tells_equal_ids_apart(spark, docs_of):
+    from quiver.llm.near_dedup import near_duplicates
+
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(4, base), (4, base + " more"), (9, base + " other"), (None, "alone in this text of several words"), (None, base)]
+    got = near_duplicates(docs_of(rows), words=4).collect()
+    by = sorted(((str(r.doc_id), r.component_id, r.kept) for r in got), key=str)
+    assert by == sorted([("4", 4, True), ("4", 4, True), ("9", 4, False), ("None", 4, False), ("None", None, True)], key=str)
+    assert sum(r["first"] for r in got) == 2
