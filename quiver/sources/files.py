@@ -34,7 +34,7 @@ def read_csv_tolerant(spark: SparkSession, path: str, header_line: str | None =
     Without ``header_line`` every file starts with a header line, which names the
     columns; with it the files hold data only, and no line is taken for a header.
     ``multi_line`` allows line ends inside quotes; a file is still read in byte ranges by
-    many tasks (``ranges``), and every record equal to the header is then left out.
+    many tasks (``ranges``).
     Spark's CSV parser marks records of the wrong width; only their fields are
     counted, with a quote-aware split.
     """
@@ -45,10 +45,10 @@ def read_csv_tolerant(spark: SparkSession, path: str, header_line: str | None =
     ddl = ", ".join(f"`c{i}` string" for i in range(len(names))) + ", `_wrong` string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_wrong", "escape": '"'}
     if multi_line:
-        records = ranges.read_records(spark, path, ranges.CsvRecords()).select(F.regexp_replace("record", "\r$", "").alias("r"))
+        records = ranges.read_records(spark, path, ranges.CsvRecords()).select("first", F.regexp_replace("record", "\r$", "").alias("r"))
         records = records.where(F.col("r") != "")
         if own_header:
-            records = records.where(F.col("r") != header_line)
+            records = records.where(~F.col("first"))
         raw = records.select(F.from_csv("r", ddl, options).alias("c")).select("c.*")
     else:
         raw = spark.read.csv(path, schema=ddl, header=own_header, **options)

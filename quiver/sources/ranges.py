@@ -154,8 +154,9 @@ def _batch(rows: list) -> pa.RecordBatch:
 
 
 def read_records(spark: SparkSession, path: str, machine) -> DataFrame:
-    """(file, start, record): the records of all files under ``path``; ``start`` is the byte range
-    in which a record begins. Records keep no order beyond it; empty ones may come or go."""
+    """(file, start, first, record): the records of all files under ``path``; ``start`` is the byte
+    range in which a record begins, ``first`` tells a file's first record. Records keep no order
+    beyond that; empty ones may come or go."""
     fragments = _fragments(spark, path, machine)
     starts = range_starts(range_effects(fragments, machine))
     table = spark.createDataFrame(starts, "file string, start long, inside boolean, depth long")  # one row per byte range
@@ -163,10 +164,10 @@ def read_records(spark: SparkSession, path: str, machine) -> DataFrame:
         "file", "start", F.coalesce("inside", F.raise_error(F.lit("a byte range was not seen in the first pass"))).alias("inside"),
         "depth", "value")
     pieces = placed.mapInArrow(_cut(machine), "file string, start long, part int, record string")
-    whole = pieces.where(F.col("part").isNull()).select("file", "start", "record")
+    whole = pieces.where(F.col("part").isNull()).select("file", "start", F.lit(False).alias("first"), "record")
     # edges: a range's first piece ends what the last piece before it began
     order = Window.partitionBy("file").orderBy("start", "part")
     edges = pieces.where(F.col("part").isNotNull()).withColumn("began", F.sum("part").over(order))
     joined = edges.groupBy("file", "began").agg(F.sort_array(F.collect_list(F.struct("start", "part", "record"))).alias("l")).select(
-        "file", F.col("l")[0]["start"].alias("start"), F.array_join(F.col("l.record"), "\n" if machine.separator == "\n" else "").alias("record"))
+        "file", F.col("l")[0]["start"].alias("start"), (F.col("began") == 0).alias("first"), F.array_join(F.col("l.record"), "\n" if machine.separator == "\n" else "").alias("record"))
     return whole.unionByName(joined)
