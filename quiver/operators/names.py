@@ -3,7 +3,7 @@
 A similarity self-join on edit distance without comparing all pairs. A name is cut into
 positional q-grams, rare grams first; two names within ``d`` edits share one of their first
 ``q * d + 1`` grams, at places at most ``d`` apart, and their lengths differ by at most ``d``.
-So names meet on (gram, length, place), which also splits a gram that very many names hold;
+So names meet on (gram, length, place) in steps, which also splits a gram that very many names hold;
 names too short for that argument meet on what is left after deleting up to ``d`` letters.
 Spark's banded edit distance decides. All expressions run in the JVM.
 """
@@ -29,10 +29,14 @@ def clean_names(df: DataFrame, col: str) -> DataFrame:
 
 
 def _grams(q: int) -> Column:
-    """Structs (gram, place) of the padded name, one per place."""
-    padded = F.concat(F.lit("\x01" * (q - 1)), F.col("name"), F.lit("\x02" * (q - 1)))
-    return F.transform(F.sequence(F.lit(1), F.length("name") + q - 1),
-                       lambda i: F.struct(F.substring(padded, i, F.lit(q)).alias("gram"), i.alias("place")))
+    """Structs (gram, place) of the padded name, one per place. The letters are taken apart once,
+    so a long name costs no more per gram than a short one."""
+    return F.transform(F.slice("letters", 1, F.length("name") + q - 1), lambda c, i: F.struct(
+        F.concat(*[F.get(F.col("letters"), i + k) for k in range(q)]).alias("gram"), (i + 1).alias("place")))
+
+
+def _lettered(names: DataFrame, q: int) -> DataFrame:
+    return names.withColumn("letters", F.split(F.concat(F.lit("\x01" * (q - 1)), F.col("name"), F.lit("\x02" * (q - 1))), ""))
 
 
 def _bucket(gram: Column) -> Column:
@@ -42,7 +46,7 @@ def _bucket(gram: Column) -> Column:
 def gram_levels(names: DataFrame, q: int) -> Column:
     """How common the grams of every bucket are, on a logarithmic scale of one byte each: a
     binary constant of a fixed size. Any order of the grams is right, this one is fast."""
-    counts = (names.select(F.explode(_grams(q)).alias("g")).groupBy(_bucket(F.col("g.gram")).alias("b"))
+    counts = (_lettered(names, q).select(F.explode(_grams(q)).alias("g")).groupBy(_bucket(F.col("g.gram")).alias("b"))
               .agg(F.count(F.lit(1)).alias("n")).collect())
     levels = bytearray(_BUCKETS)
     for r in counts:
@@ -54,14 +58,23 @@ def _met_on_grams(names: DataFrame, d: int, q: int) -> DataFrame:
     levels = gram_levels(names, q)
     ordered = F.sort_array(F.transform(_grams(q), lambda g: F.struct(
         F.substring(levels, _bucket(g["gram"]) + 1, F.lit(1)).alias("level"), g["gram"].alias("gram"), g["place"].alias("place"))))
-    first = pin(names.select("name", F.length("name").alias("size"),
-                             F.explode(F.slice(ordered, 1, q * d + 1)).alias("g")).select(
-        "name", "size", F.col("g.gram").alias("gram"), F.col("g.place").alias("place")))
-    # the longer name (or the later of two) asks for every length and place that it may meet
-    steps = F.sequence(F.lit(0), F.lit(d))
-    asks = first.select(F.col("name").alias("other"), "gram", F.explode(F.transform(steps, lambda k: F.col("size") - k)).alias("size"),
-                        "place").select("other", "gram", "size", F.explode(F.sequence(F.col("place") - d, F.col("place") + d)).alias("place"))
-    return first.join(asks, ["gram", "size", "place"]).select("name", "other")
+    first = pin(_lettered(names, q).select(F.xxhash64("name").alias("id"), F.length("name").alias("size"),
+                                           F.explode(F.slice(ordered, 1, q * d + 1)).alias("g")).select(
+        "id", "size", F.col("g.gram").alias("gram"), F.col("g.place").alias("place")))
+    # lengths and places are dealt in steps, so that a name asks for at most two of each
+    by, at = d + 1, 2 * d + 1
+    step = lambda c, k: F.floor(c / k).cast("int")
+    held = first.withColumns({"long": step(F.col("size"), by), "where": step(F.col("place"), at)})
+    asks = (first.select(F.col("id").alias("other"), "gram", F.col("size").alias("other_size"), F.col("place").alias("other_place"))
+            .withColumn("long", F.explode(F.sequence(step(F.col("other_size") - d, by), step(F.col("other_size"), by))))
+            .withColumn("where", F.explode(F.sequence(step(F.col("other_place") - d, at), step(F.col("other_place") + d, at)))))
+    met = held.join(asks, ["gram", "long", "where"]).where(
+        F.col("size").between(F.col("other_size") - d, F.col("other_size")) & (F.abs(F.col("place") - F.col("other_place")) <= d))
+    pairs = met.select("id", "other").distinct()
+    # hashes that agree by chance only bring more names to compare
+    named = names.select(F.xxhash64("name").alias("id"), "name")
+    return (pairs.join(named, "id").join(named.select(F.col("id").alias("other"), F.col("name").alias("other_name")), "other")
+            .select("name", F.col("other_name").alias("other")))
 
 
 def _met_on_deletions(names: DataFrame, d: int, longest: int) -> DataFrame:
