@@ -5,7 +5,8 @@ positional q-grams, rare grams first; two names within ``d`` edits share one of
 ``q * d + 1`` grams, at places at most ``d`` apart, and their lengths differ by at most ``d``.
 So names meet on (gram, length, place) in steps, which also splits a gram that very many names hold;
 names too short for that argument meet on what is left after deleting up to ``d`` letters.
-Spark's banded edit distance decides. All expressions run in the JVM.
+A signature of the names' letter pairs rules most others out, and Spark's banded edit
+distance decides. All expressions run in the JVM.
 """
 
 from __future__ import annotations
@@ -39,6 +40,16 @@ def _lettered(names: DataFrame, q: int) -> DataFrame:
     return names.withColumn("letters", F.split(F.concat(F.lit("\x01" * (q - 1)), F.col("name"), F.lit("\x02" * (q - 1))), ""))
 
 
+def _signature(q: int) -> Column:
+    """128 bits of the name's letter pairs, as an array of two longs. An edit takes at most two
+    pairs away and brings two, so it changes at most four bits."""
+    pairs = F.transform(F.slice("letters", q, F.greatest(F.length("name") - 1, F.lit(0))), lambda c, i: F.pmod(
+        F.xxhash64(F.concat(c, F.get(F.col("letters"), i + q))), F.lit(128)).cast("int"))
+    half = lambda k: F.aggregate(F.filter(pairs, lambda h: F.floor(h / 64) == k), F.lit(0).cast("long"),
+                                 lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), h)))
+    return F.array(half(0), half(1))
+
+
 def _bucket(gram: Column) -> Column:
     return F.pmod(F.xxhash64(gram), F.lit(_BUCKETS)).cast("int")
 
@@ -59,17 +70,20 @@ def _met_on_grams(names: DataFrame, d: int, q: int) -> DataFrame:
     ordered = F.sort_array(F.transform(_grams(q), lambda g: F.struct(
         F.substring(levels, _bucket(g["gram"]) + 1, F.lit(1)).alias("level"), g["gram"].alias("gram"), g["place"].alias("place"))))
     first = pin(_lettered(names, q).select(F.xxhash64("name").alias("id"), F.length("name").alias("size"),
-                                           F.explode(F.slice(ordered, 1, q * d + 1)).alias("g")).select(
-        "id", "size", F.col("g.gram").alias("gram"), F.col("g.place").alias("place")))
+                                           _signature(q).alias("bits"), F.explode(F.slice(ordered, 1, q * d + 1)).alias("g")).select(
+        "id", "size", "bits", F.col("g.gram").alias("gram"), F.col("g.place").alias("place")))
     # lengths and places are dealt in steps, so that a name asks for at most two of each
     by, at = d + 1, 2 * d + 1
     step = lambda c, k: F.floor(c / k).cast("int")
     held = first.withColumns({"long": step(F.col("size"), by), "where": step(F.col("place"), at)})
-    asks = (first.select(F.col("id").alias("other"), "gram", F.col("size").alias("other_size"), F.col("place").alias("other_place"))
+    asks = (first.select(F.col("id").alias("other"), "gram", F.col("size").alias("other_size"), F.col("bits").alias("other_bits"),
+                         F.col("place").alias("other_place"))
             .withColumn("long", F.explode(F.sequence(step(F.col("other_size") - d, by), step(F.col("other_size"), by))))
             .withColumn("where", F.explode(F.sequence(step(F.col("other_place") - d, at), step(F.col("other_place") + d, at)))))
+    apart = sum(F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("other_bits")[k])) for k in (0, 1))
     met = held.join(asks, ["gram", "long", "where"]).where(
-        F.col("size").between(F.col("other_size") - d, F.col("other_size")) & (F.abs(F.col("place") - F.col("other_place")) <= d))
+        F.col("size").between(F.col("other_size") - d, F.col("other_size")) & (F.abs(F.col("place") - F.col("other_place")) <= d)
+        & (apart <= 4 * d))
     pairs = met.select("id", "other").distinct()
     # hashes that agree by chance only bring more names to compare
     named = names.select(F.xxhash64("name").alias("id"), "name")
