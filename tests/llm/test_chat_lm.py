@@ -10,6 +10,8 @@ import zlib
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from quiver.llm import lm_scoring
 from quiver.llm.attention_lm import AttentionModel
 from quiver.llm.chat_format import N_SYMBOLS, S, START, STATES, Hmm, fit, parse_transcripts, symbol, viterbi
@@ -148,6 +150,52 @@ def test_probabilities_sum_to_one_and_ignore_the_batch():
     assert abs(total - 1) < 1e-5
 
 
+def test_score_matches_a_plain_loop_over_tokens():
+    """Attention and both softmax levels written out per token, in plain Python floats."""
+    rng = np.random.default_rng(7)
+    m = AttentionModel(23, 8, 2, 6, 4, seed=3)
+    for name in ("R", "b", "c"):
+        m.p[name] = rng.standard_normal(m.p[name].shape).astype(np.float32)
+    p = {k: v.astype(np.float64) for k, v in m.p.items()}
+    ids, offsets = rng.integers(0, 23, 40), np.array([0, 0, 1, 18, 40])
+
+    def plain(text, t):
+        span, half = m.span, m.dim // m.heads
+        back = [text[t - 1 - r] if t - 1 - r >= 0 else m.size for r in range(span)]  # the nearest first
+        e = [p["E"][x] for x in back]
+        seen = []
+        for h in range(m.heads):
+            cut = slice(h * half, (h + 1) * half)
+            weights = [math.exp((e[0] @ p["Q"])[cut] @ (e[r] @ p["K"])[cut] / math.sqrt(half) + p["R"][h, r])
+                       for r in range(span)]
+            seen += list(sum(w * (x @ p["V"])[cut] for w, x in zip(weights, e)) / sum(weights))
+        z = np.tanh(np.array(seen) @ p["O"] + e[0] @ p["D"] + p["b"])
+        group, member = divmod(int(text[t]), m.per)
+        share = lambda x, k: x[k] - math.log(sum(math.exp(y) for y in x))
+        return share(z @ p["C"] + p["c"], group) + share(z @ p["W"][group] + p["w"][group], member)
+
+    want = [plain(ids[a:b], t) for a, b in zip(offsets, offsets[1:]) for t in range(b - a)]
+    assert np.allclose(m.score(ids, offsets, batch=3), want, atol=1e-4)
+
+
+def test_rounds_grow_and_hold_every_text_once(spark):
+    got = dict(spark.range(70_000).groupBy(lm_scoring.rounds_of(F.col("id"), 3).alias("r")).count().collect())
+    assert sorted(got) == [0, 1, 2] and sum(got.values()) == 70_000
+    assert all(abs(got[k] - 10_000 * 2 ** k) < 1_000 for k in got)
+
+
+def test_copies_of_one_row_train_in_several_parts(docs_of, monkeypatch):
+    seen = {}
+
+    def fit(texts, symbols, *args, **shape):
+        seen["parts"] = collections.Counter(r.part for r in texts.select("part").collect())
+        return AttentionModel(symbols.size, **shape)
+
+    monkeypatch.setattr(lm_scoring, "fit", fit)
+    lm_scores(docs_of([(1, "the same words again and again")] * 600, 3), part_ids=1_500)
+    assert sum(seen["parts"].values()) == 600 and max(seen["parts"].values()) < 300
+
+
 def test_windows_score_each_token_once_with_context():
     m = AttentionModel(9, 8, 2, 8, 4)
     x, first = m.windows(np.arange(9), np.array([0, 0, 9]))
