@@ -5,9 +5,10 @@ its end id) are cut into whole windows and a rest; the rest goes to the fill lev
 (0: a new window) that minimises the sum of squares of the numbers of open windows per
 fill level, as kept in the level array. Equal costs go to the fullest level.
 
-Open windows are bounded: at ``max_open``, and at the end of the task, the pieces of the
-open windows are laid end to end and cut anew at window borders. The last, partly filled
-window of a task is cut at powers of two, which need no padding.
+Open windows are bounded: beyond ``max_open``, and at the end of the task, the fullest
+windows are filled up with ids cut from the emptiest, until as many are closed as needed.
+So the places found for documents stay, and only the emptiest windows are taken apart. The
+last, partly filled window of a task is cut at powers of two, which need no padding.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ class SumOfSquares:
         self.levels = np.zeros(size + 1, np.int64)  # open windows per fill level
         self.open: dict[int, list[list]] = {}       # level -> windows; a window is a list of pieces
         self.n_open = 0
+        self.recut = 0  # ids of windows that were taken apart
         self.done: list[tuple] = []
 
     def add(self, doc, ids: np.ndarray) -> None:
@@ -43,7 +45,7 @@ class SumOfSquares:
         if n > whole:
             self._place((doc, whole, ids[whole:].copy(), n))
             if self.n_open > self.max_open:
-                self._recut(last=False)
+                self._fill(self.max_open // 2)
 
     def _place(self, piece) -> None:
         s, levels, size = len(piece[2]), self.levels, self.size
@@ -80,23 +82,36 @@ class SumOfSquares:
             offset += len(ids)
         self.next += 1
 
-    def _recut(self, last: bool) -> None:
-        pieces = [p for level in sorted(self.open) for w in self.open[level] for p in w]
+    def _fill(self, keep: int) -> None:
+        """Close windows, the fullest first, with ids cut from the emptiest, until at most
+        ``keep`` windows are open."""
+        levels = sorted(self.open)
+        windows = [(level, w) for level in levels for w in self.open[level]]  # emptiest first
+        source, n_source = [], 0  # pieces of the windows taken apart, and their ids
+        while len(windows) + (n_source > 0) > max(keep, 1):
+            level, window = windows.pop() if windows else (0, [])
+            while level < self.size:
+                if not source:
+                    if not windows:
+                        break
+                    n_source, source = windows.pop(0)
+                    self.recut += n_source
+                doc, start, ids, total = source.pop()
+                part = ids[: self.size - level]
+                window.append((doc, start, part, total))
+                level, n_source = level + len(part), n_source - len(part)
+                if len(part) < len(ids):
+                    source.append((doc, start + len(part), ids[len(part):], total))
+            if level < self.size:
+                windows.append((level, window))
+                break
+            self._close(window)
+        if source:
+            windows.append((n_source, source))
         self.open, self.n_open = {}, 0
         self.levels[:] = 0
-        window, room = [], self.size
-        for doc, start, ids, total in pieces:
-            while len(ids):
-                part, ids = ids[:room], ids[room:]
-                window.append((doc, start, part, total))
-                start, room = start + len(part), room - len(part)
-                if not room:
-                    self._close(window)
-                    window, room = [], self.size
-        if window and last:
-            self._close_in_powers(window, self.size - room)
-        elif window:
-            self._keep(window, self.size - room)
+        for level, window in windows:
+            self._keep(window, level)
 
     def _close_in_powers(self, pieces, total: int) -> None:
         queue = list(pieces)
@@ -113,7 +128,12 @@ class SumOfSquares:
                 self._close(window)
 
     def finish(self) -> None:
-        self._recut(last=True)
+        """Close every window; at most one is partly filled, and cut at powers of two."""
+        self._fill(1)
+        for level in list(self.open):
+            for window in self.open.pop(level):
+                self._close_in_powers(window, level)
+        self.levels[:], self.n_open = 0, 0
 
     def rows(self) -> list[tuple]:
         rows, self.done = self.done, []
