@@ -152,7 +152,7 @@ def write_token_files(docs: DataFrame, folder: str | None = None, end_id: int =
                       text_col: str = "text", vocabulary: str | None = None, chunk_bytes: int = 8_000_000) -> str:
     """Encode all documents in ascending id order (null ids first) and write the files;
     returns their folder. A null or empty text is its end id alone; repeated ids are
-    separate documents, in any order among themselves; an empty table writes only the
+    separate documents, ordered by a hash of their texts; an empty table writes only the
     code file. Other columns are ignored."""
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -174,8 +174,10 @@ def write_token_files(docs: DataFrame, folder: str | None = None, end_id: int =
                   "ids": (ids.astype("<u2") if narrow else ids).tobytes()}], schema=_CHUNK)
             earlier += len(ids)
 
-    chunks = pin(id_text(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-                 .mapInArrow(encode, "shard int, chunk int, earlier long, doc_ids array<long>, sizes array<long>, "
+    # rows of one id, nulls above all, are told apart by their text's hash, so they may lie in many ranges
+    placed = id_text(docs, id_col, text_col).withColumn("tie", F.xxhash64("text"))
+    chunks = pin(placed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+                 .select("doc_id", "text").mapInArrow(encode, "shard int, chunk int, earlier long, doc_ids array<long>, sizes array<long>, "
                                      "n long, width int, ids binary"), "token-chunks")
 
     bounded_batches(spark, 1)  # a row is a chunk from here on

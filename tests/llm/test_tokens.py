@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 
-from quiver.llm.huffman import LANE, Code, code_lengths, read_token_files, write_token_files
+from quiver.llm.huffman import LANE, Code, code_lengths, read_file, read_token_files, write_token_files
 from quiver.llm.packing import SumOfSquares, pack
 from quiver.llm.tokens import Encoder, default_vocabulary
 
@@ -77,6 +77,26 @@ def test_token_files_of_nothing(spark, docs_of):
     assert read_token_files(spark, folder).count() == 0
 
 
+def test_token_files_spread_the_rows_of_one_id(spark, docs_of):
+    """A third of all rows without an id, and rows that repeat id and text."""
+    rows = [(k if k % 3 else None, f"text {k % 400} of many") for k in range(1200)]
+    joined = "spark.sql.adaptive.coalescePartitions.enabled"  # it would make one range of so few rows
+    before = spark.conf.get(joined)
+    spark.conf.set(joined, "false")
+    try:
+        folder = write_token_files(docs_of(rows, 4))
+    finally:
+        spark.conf.set(joined, before)
+    got = sorted(read_token_files(spark, folder).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
+    counted = lambda x: sorted(x, key=str)
+    assert counted((r.doc_id, r.ids_crc32) for r in got) == counted(
+        (i, crc(ids + [2])) for (i, _), ids in zip(rows, plain([t for _, t in rows])))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.qhf").load(folder).select("content").collect()
+    code = Code.from_bytes(spark.read.format("binaryFile").load(f"{folder}/code.qhc").head().content)
+    assert sum(None in read_file(r.content, code)[0] for r in files) > 1  # rows without an id lie in several ranges
+
+
 def check_packing(rows, got, size):
     ids_of = {i: ids + [0] for (i, _), ids in zip(rows, plain([t or "" for _, t in rows]))}
     by_doc, by_seq = {}, {}
@@ -141,3 +161,29 @@ def test_open_windows_stay_bounded():
         assert packer.n_open <= 9
     packer.finish()
     assert sum(r[2] for r in packer.rows()) == 1800
+
+
+def test_few_ids_are_cut_anew():
+    """Filling the fullest windows from the emptiest keeps the places of nearly all ids."""
+    rng = np.random.default_rng(0)
+    for n, low, high, most in ((600, 20, 1500, 0.05), (2000, 20, 1500, 0.05), (8000, 300, 700, 0.05)):
+        packer, total = SumOfSquares(1024, 0, 4096), 0
+        for doc in range(n):
+            ids = np.zeros(rng.integers(low, high), np.uint32)
+            total += len(ids)
+            packer.add(doc, ids)
+        packer.finish()
+        rows = packer.rows()
+        assert packer.recut < most * total and sum(r[2] for r in rows) == total
+        sizes = {}
+        for r in rows:
+            sizes[r[5]] = sizes.get(r[5], 0) + r[2]
+        assert all(x == 1024 or x & (x - 1) == 0 for x in sizes.values())
+
+
+def test_repeated_rows_are_packed_like_any_others(docs_of):
+    got = pack(docs_of([(4, "the same row")] * 5 + [(None, "the same row")] * 3, 2)).collect()
+    whole = crc(plain(["the same row"])[0] + [0])
+    assert {r.doc_tokens for r in got} == {4}
+    assert sum(r.length for r in got) == 32 and sum(r.start == 0 for r in got) == 8
+    assert all(r.ids_crc32 == whole for r in got if r.length == r.doc_tokens)
