@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quiver.functions.common import md5_bucket
-from quiver.operators.ranking import global_rank, top_n_per_group
+from quiver.functions.common import md5_bucket, seeded_hash
+from quiver.operators.ranking import global_rank, pin, top_n_per_group
 
 
 def bernoulli_sample(df: DataFrame, percent: float, seed: int = 42) -> DataFrame:
@@ -46,6 +47,38 @@ def positional_split(df: DataFrame, key_col: str, fractions=(0.7, 0.9), seed: in
     return ranked.withColumn("split", split).drop("_n")
 
 
+def split_at_positions(df: DataFrame, key_col: str, fractions=(0.7, 0.9), seed: int = 42,
+                       labels=("train", "validate", "test")) -> DataFrame:
+    """P02/P07 without the rank, for wide rows: the same split, but only the keys are ranked.
+    The driver learns the hash at every cut, and rows are labelled by their own hash where
+    they are. Only rows that share a cut's hash (a repeated key) are numbered."""
+    ranked = pin(global_rank(df.select(key_col), [key_col], seed, rank_col="_rank", total_col="_n")
+                 .select(seeded_hash([key_col], seed).alias("_h"), "_rank", "_n"))
+    total = ranked.select(F.max("_n")).first()[0] or 0
+    places = [math.floor(float(f) * total) for f in fractions]
+    at = [r._h for r in ranked.filter(F.col("_rank").isin(places)).select("_h").distinct().collect()]  # one per cut
+    spans = {r._h: r for r in ranked.filter(F.col("_h").isin(at)).groupBy("_h").agg(
+        F.min("_rank").alias("first"), F.max("_rank").alias("last")).collect()}
+    h = seeded_hash([key_col], seed)
+
+    def labelled(rows, rank_of):
+        split = None
+        for place, lab in zip(places, labels):
+            own = next((s for s in spans.values() if s.first <= place <= s.last), None)
+            if own is None:  # no row lies before this cut
+                continue
+            before = (h < own._h) | ((h == own._h) & (rank_of(own) <= place))
+            split = F.when(before, lab) if split is None else split.when(before, lab)
+        return rows.withColumn("split", F.lit(labels[-1]) if split is None else split.otherwise(labels[-1]))
+
+    shared = [s._h for s in spans.values() if s.first != s.last]
+    if not shared:
+        return labelled(df, lambda s: F.lit(s.first))
+    numbered = df.filter(h.isin(shared)).withColumn("_place", F.row_number().over(Window.partitionBy(h).orderBy(key_col)))
+    return (labelled(df.filter(~h.isin(shared)), lambda s: F.lit(s.first))
+            .unionByName(labelled(numbered, lambda s: F.col("_place") + (s.first - 1)).drop("_place")))
+
+
 def time_split(df: DataFrame, ts_col: str, train_end: str, valid_end: str) -> DataFrame:
     """half-open split ``< train_end`` / ``[train_end, valid_end)`` / ``>= valid_end``."""
     t0 = datetime.strptime(train_end, "%Y-%m-%d")

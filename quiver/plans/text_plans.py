@@ -53,7 +53,7 @@ def q_bow_counts(spark, sf):
 
 
 def _split_reviews(spark, sf):
-    return sampling.positional_split(reviews(spark, sf), "doc_id", (0.8,), seed=42, labels=("train", "valid"))
+    return sampling.split_at_positions(reviews(spark, sf), "doc_id", (0.8,), seed=42, labels=("train", "valid"))
 
 
 _GATE_SQL = with_(REVIEWS, """
@@ -101,9 +101,9 @@ SELECT round((SELECT a FROM auc), 6) AS model_auc, 0.5::DOUBLE AS base_auc,
 def fitted_model(spark, sf):
     s = _split_reviews(spark, sf)
     train = s.filter(F.col("split") == "train")
-    counts = text.term_counts(train, "doc_id", "review").checkpoint(eager=True)  # tokenised once
-    vocab = text.fit_vocabulary(train, "doc_id", "review", counts=counts)
-    return s, text.fit_naive_bayes(train, "doc_id", "review", "labels", vocab, counts=counts)
+    stats = text.term_statistics(train, "doc_id", "review", label_col="labels").checkpoint(eager=True)  # tokenised once
+    vocab = text.fit_vocabulary(train, "doc_id", "review", stats=stats)
+    return s, text.fit_naive_bayes(train, "doc_id", "review", "labels", vocab, stats=stats)
 
 
 @plan("deploy_gate", _GATE_SQL)
