@@ -8,8 +8,10 @@ score of a document is its weighted feature sum; the threshold is the quantile o
 training scores that rejects the share of bad documents seen in training, and scores are
 shifted so that the threshold lies at ``cut``.
 
-The fit uses at most ``max_labelled`` labelled rows (those with the smallest hash of their
-id) and ``pairs`` pairs; features, their means and spreads, and scores cover all documents.
+Every labelled training row is learned from: each row of the commoner kind is paired at
+least once with one of the other kind, each of those at least once in turn, and at least
+``pairs`` pairs are made. The Newton steps are sums over the pairs, the threshold an exact
+quantile over all training rows; both are taken where the rows are.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 
 from quiver.llm.common import (NULL_KEY, bounded_batches, column, id_text, pin, split_words, suspects_of,
                                text_steps)
+from quiver.operators.ranking import rank_by
 
 _CLASSES = [  # bytes of each counted class
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b"|", b"!", b".,;:?'\"-()",
@@ -107,11 +110,21 @@ def fit_bradley_terry(x: np.ndarray, good: np.ndarray, pairs: int, seed: int = 7
     rng = np.random.default_rng(seed)
     m = max(pairs, 1)
     d = x[up[rng.integers(0, len(up), m)]] - x[down[rng.integers(0, len(down), m)]]
-    eye = penalty * np.eye(len(w))
+    return newton(lambda at: pair_sums(d, at), len(w), penalty, steps)
+
+
+def pair_sums(d: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient of the pairs' log likelihood at ``w``, and its curvature."""
+    p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))  # chance that the bad one is preferred
+    return d.T @ p, (d * (p * (1 - p))[:, None]).T @ d
+
+
+def newton(sums, width: int, penalty: float = 3.0, steps: int = 25) -> np.ndarray:
+    """Weights at which the penalised loss is least; ``sums(w)`` adds up all pairs at ``w``."""
+    w = np.zeros(width)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))  # chance that the bad one is preferred
-        gradient = penalty * w - d.T @ p
-        step = np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d + eye, gradient)
+        up, curve = sums(w)
+        step = np.linalg.solve(curve + penalty * np.eye(width), penalty * w - up)
         w -= step
         if np.abs(step).max() < 1e-6:
             break
@@ -140,7 +153,7 @@ class Ranker:
         return 1 / (1 + np.exp(-np.clip(raw, -500, 500)))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, cut: float = 0.3, folds: int = 5, max_labelled: int = 20_000,
+def quality_scores(docs: DataFrame, labels: DataFrame, cut: float = 0.3, folds: int = 5,
                    pairs: int = 50_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, tag (xxhash64 of the text), held_out, score, predicted.
 
@@ -180,14 +193,15 @@ def quality_scores(docs: DataFrame, labels: DataFrame, cut: float = 0.3, folds:
     marks = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("_good"))
     marks = (marks.where("_good in (0, 1)").groupBy("_id").agg(F.min("_good").alias("_good"), F.max("_good").alias("_most"))
              .where("_good = _most").select("_id", "_good"))
-    train = (measured.join(marks, F.col("doc_id") == F.col("_id"))
-             .where(~held_out(F.col("doc_id"), folds))
-             .orderBy(F.xxhash64("doc_id"), "doc_id", "tag").limit(max_labelled).select("x", "_good").toPandas())
-    x = np.stack(train["x"].to_numpy()).astype(np.float64) if len(train) else np.zeros((0, len(NAMES)))
-    good = train["_good"].to_numpy() == 1
-    z = Ranker.expand(x, mean, spread)
-    weights = fit_bradley_terry(z, good, pairs)
-    model = Ranker(mean, spread, weights, _threshold(z @ weights, good), cut)
+    train = (measured.join(marks, F.col("doc_id") == F.col("_id")).where(~held_out(F.col("doc_id"), folds))
+             .select("x", "_good", F.xxhash64("doc_id").alias("_h"), "doc_id", "tag"))
+    ranked = rank_by(train, ["_good", "_h", "doc_id", "tag"], rank_col="_place")  # the bad ones first
+    counted = ranked.agg(F.count_if(F.col("_good") == 0).alias("bad"), F.count_if(F.col("_good") == 1).alias("good")).first()
+    weights, threshold = np.zeros(2 * len(NAMES)), 0.0  # without both kinds every document scores alike
+    if counted.bad and counted.good:
+        weights = newton(_pair_job(_paired(ranked, counted.bad, counted.good, pairs), mean, spread), 2 * len(NAMES))
+        threshold = _threshold_of(ranked, counted.bad, Ranker(mean, spread, weights, 0.0, cut))
+    model = Ranker(mean, spread, weights, threshold, cut)
     shared = spark.sparkContext.broadcast(model)
 
     def score(batches):
@@ -200,8 +214,55 @@ def quality_scores(docs: DataFrame, labels: DataFrame, cut: float = 0.3, folds:
                          (F.col("score") >= cut).cast("int").alias("predicted"))
 
 
-def _matrix(batch) -> np.ndarray:
-    return batch.column("x").flatten().to_numpy().reshape(-1, len(NAMES)).astype(np.float64)
+def _paired(ranked: DataFrame, bad: int, good: int, pairs: int) -> DataFrame:
+    """(x, y): features of a good and of a bad row, ``pairs`` rows or one for each of the
+    commoner kind if that is more. Places follow the ids' hashes; row i of the commoner kind
+    meets, once a round, rows of the other kind that lie evenly apart."""
+    small, big = min(bad, good), max(bad, good)
+    rounds = -(-max(pairs, big) // big)
+    own = ranked.withColumn("_i", F.col("_place") - 1 - F.when(F.col("_good") == 1, bad).otherwise(0))
+    many = F.col("_good") == (1 if good >= bad else 0)
+    partner = (F.col("_i") + F.col("_r") * (small // rounds + 1)) % small
+    common = own.where(many).select("x", "_i", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("_r"))
+    other = own.where(~many).select(F.col("_i").alias("_j"), F.col("x").alias("y"))
+    met = common.select("x", partner.alias("_j")).join(other, "_j")
+    return pin(met.select("x", "y") if good >= bad else met.select(F.col("y").alias("x"), F.col("x").alias("y")), "quality-pairs")
+
+
+def _pair_job(paired: DataFrame, mean: np.ndarray, spread: np.ndarray):
+    """``pair_sums`` over all rows of ``paired``: one scan, summed by cell of (gradient, curvature)."""
+    width = 2 * len(NAMES)
+
+    def sums(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def run(batches):
+            total = np.zeros(width + width * width)
+            for batch in batches:
+                d = Ranker.expand(_matrix(batch), mean, spread) - Ranker.expand(_matrix(batch, "y"), mean, spread)
+                up, curve = pair_sums(d, w)
+                total += np.concatenate([up, curve.reshape(-1)])
+            yield pa.RecordBatch.from_pydict({"cell": np.arange(len(total)), "v": total})
+
+        got = paired.mapInArrow(run, "cell long, v double").groupBy("cell").agg(F.sum("v").alias("v")).toPandas()
+        total = np.zeros(width + width * width)
+        total[got["cell"].to_numpy()] = got["v"].to_numpy()
+        return total[:width], total[width:].reshape(width, width)
+
+    return sums
+
+
+def _threshold_of(ranked: DataFrame, bad: int, model: Ranker) -> float:
+    """``_threshold`` over all training rows: half way between the scores of rank ``bad`` and the next."""
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"raw": model.expand(_matrix(batch), model.mean, model.spread) @ model.weights})
+
+    scores = rank_by(ranked.select("x").mapInArrow(run, "raw double"), ["raw"], rank_col="_rank")
+    around = [r.raw for r in scores.where(F.col("_rank").isin(bad, bad + 1)).select("raw").collect()]  # two rows
+    return float(sum(around) / 2)
+
+
+def _matrix(batch, name: str = "x") -> np.ndarray:
+    return batch.column(name).flatten().to_numpy().reshape(-1, len(NAMES)).astype(np.float64)
 
 
 def _threshold(raw: np.ndarray, good: np.ndarray) -> float:

@@ -103,3 +103,19 @@ def test_features_and_scores_by_plain_code(spark):
         z = [min(max((v - m) / d, -6), 6) for v, m, d in zip(row, mean, spread)]
         raw = sum(a * b for a, b in zip(w, z + [v * v for v in z])) + np.log(0.3 / 0.7) - 0.25
         assert abs(s - 1 / (1 + np.exp(-raw))) < 1e-9
+
+
+def test_every_labelled_row_is_paired_and_the_threshold_covers_all(spark):
+    from quiver.llm.quality import Ranker, _paired, _threshold_of
+
+    n, bad = 260, 60
+    rows = [([float(i)] * len(NAMES), int(i >= bad), i + 1) for i in range(n)]
+    ranked = spark.createDataFrame(rows, "x array<float>, _good int, _place long")
+    met = _paired(ranked, bad, n - bad, 50).collect()
+    assert {r.x[0] for r in met} == {float(i) for i in range(bad, n)}  # each good row
+    assert {r.y[0] for r in met} == {float(i) for i in range(bad)}  # each bad row
+    assert len(_paired(ranked, bad, n - bad, 900).collect()) == 1000  # whole rounds
+    width = len(NAMES)
+    model = Ranker(np.zeros(width), np.full(width, 100.0), np.r_[1.0, np.zeros(2 * width - 1)], 0.0, 0.3)
+    raw = np.arange(n) / 100
+    assert abs(_threshold_of(ranked, bad, model) - _threshold(raw, np.arange(n) >= bad)) < 1e-6
