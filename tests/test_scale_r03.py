@@ -47,3 +47,18 @@ def test_term_statistics_of_repeated_and_missing_ids(spark):
     got = {r.term: (r.df, r.tf, r.n1, r.n0) for r in text.term_statistics(docs, "doc_id", "t", label_col="y").collect()}
     # ids 2 and null are one document each, counted once per row's label; null ids have no label
     assert got == {"red": (2, 5, 5, 3), "blue": (2, 4, 1, 0), "green": (2, 3, 1, 1), "grun": (1, 1, 0, 0)}
+
+
+def test_best_items_of_factors_are_those_of_brute_force(spark):
+    import numpy as np
+
+    from quiver.operators import learn
+
+    rng = np.random.default_rng(3)
+    u, v = rng.normal(size=(30, 5)), rng.normal(size=(70, 5))
+    users = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(u)], "id int, features array<float>")
+    items = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id int, features array<float>")
+    got = {r.user: (r["items"], r.scores) for r in learn.factor_topk(users, items, "user", 4).collect()}
+    for i, row in enumerate(u.astype(np.float32) @ v.astype(np.float32).T):
+        best = np.argsort(-row)[:4]
+        assert got[i][0] == best.tolist() and np.allclose(got[i][1], row[best], atol=1e-5)
