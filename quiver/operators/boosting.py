@@ -55,8 +55,8 @@ class BoostedTrees:
     """Complete trees of a fixed depth: [round][model, class, node] arrays. A node without a
     split (feature -1) sends all its rows to the left."""
 
-    def __init__(self, models: int, classes: int, depth: int, rate: float):
-        self.models, self.classes, self.depth, self.rate = models, classes, depth, rate
+    def __init__(self, models: int, classes: int, depth: int, rate: float, one_vs_rest: bool = False):
+        self.models, self.classes, self.depth, self.rate, self.one_vs_rest = models, classes, depth, rate, one_vs_rest
         self.features: list[np.ndarray] = []
         self.cuts: list[np.ndarray] = []
         self.leaves: list[np.ndarray] = []
@@ -86,7 +86,21 @@ class BoostedTrees:
         return out
 
     def probabilities(self, bins: np.ndarray, model: int = 0) -> np.ndarray:
-        return _softmax(self.scores(bins, model, len(self.leaves)))
+        scores = self.scores(bins, model, len(self.leaves))
+        return 1 / (1 + np.exp(-2 * scores)) if self.one_vs_rest else _softmax(scores)
+
+    def slopes(self, scores: np.ndarray, label: np.ndarray, turn: int):
+        """Gradient and curvature of the loss for every class, given the scores of the rounds before
+        ``turn``. One against the rest, as in Spark ML: labels are 1 and -1, the first tree fits them,
+        later ones the log loss's residuals, and every row weighs the same."""
+        if not self.one_vs_rest:
+            p = _softmax(scores)
+            for k in range(self.classes):
+                yield k, p[:, k] - (label == k), p[:, k] * (1 - p[:, k])
+            return
+        for k in range(self.classes):
+            y = np.where(label == k, 1.0, -1.0)
+            yield k, -y if turn == 0 else -4 * y / (1 + np.exp(2 * y * scores[:, k])), np.ones(len(y))
 
 
 def _softmax(s: np.ndarray) -> np.ndarray:
@@ -114,11 +128,9 @@ def _histograms(rows: DataFrame, trees: BoostedTrees, level: int, n_features: in
             for m in range(t.models):
                 own = np.flatnonzero(fold != m)
                 x = bins[own]
-                p = _softmax(t.scores(x, m, done))
-                for k in range(t.classes):
+                for k, up, curve in t.slopes(t.scores(x, m, done), label[own], done):
                     cell = (t.node(x, done, m, k, level)[:, None] * n_features * n_bins + columns + x).reshape(-1)
-                    up = p[:, k] - (label[own] == k)
-                    for table, weight in ((g, up), (h, p[:, k] * (1 - p[:, k]))):
+                    for table, weight in ((g, up), (h, curve)):
                         table[m, k] += np.bincount(cell, np.repeat(weight, n_features), 2 ** level * n_features * n_bins).reshape(shape[2:])
         cells = np.flatnonzero(h.reshape(-1))
         yield pa.RecordBatch.from_pydict({"cell": cells, "g": g.reshape(-1)[cells], "h": h.reshape(-1)[cells]})
@@ -136,7 +148,8 @@ def best_splits(g: np.ndarray, h: np.ndarray, penalty: float, least: float):
     left_g, left_h = g.cumsum(-1)[..., :-1], h.cumsum(-1)[..., :-1]
     all_g, all_h = g.sum(-1, keepdims=True), h.sum(-1, keepdims=True)
     right_g, right_h = all_g - left_g, all_h - left_h
-    gain = left_g ** 2 / (left_h + penalty) + right_g ** 2 / (right_h + penalty) - all_g ** 2 / (all_h + penalty)
+    with np.errstate(divide="ignore", invalid="ignore"):  # without a penalty: empty sides, never chosen
+        gain = left_g ** 2 / (left_h + penalty) + right_g ** 2 / (right_h + penalty) - all_g ** 2 / (all_h + penalty)
     gain = np.where((left_h >= least) & (right_h >= least), np.round(gain, 9), 0.0)
     flat = gain.reshape(*gain.shape[:3], -1)
     best = flat.argmax(-1)
@@ -151,10 +164,11 @@ def best_splits(g: np.ndarray, h: np.ndarray, penalty: float, least: float):
 
 
 def fit_boosted(rows: DataFrame, n_features: int, n_bins: int, classes: int, rounds: int = 10, depth: int = 3, rate: float = 0.3,
-                penalty: float = 1.0, least: float = 1.0, folds: int = 0) -> BoostedTrees:
+                penalty: float = 1.0, least: float = 1.0, folds: int = 0, one_vs_rest: bool = False) -> BoostedTrees:
     """Trees over (bins, label, fold). With ``folds``, model f learns from the rows of the other
-    folds; without, one model learns from all rows (``fold`` is then -1 everywhere)."""
-    trees = BoostedTrees(max(folds, 1), classes, depth, rate)
+    folds; without, one model learns from all rows (``fold`` is then -1 everywhere). ``one_vs_rest``
+    boosts each class against the others instead of all by one softmax; the first tree then counts whole."""
+    trees = BoostedTrees(max(folds, 1), classes, depth, rate, one_vs_rest)
     for _ in range(rounds):
         trees.start_round()
         for level in range(depth):
@@ -163,8 +177,10 @@ def fit_boosted(rows: DataFrame, n_features: int, n_bins: int, classes: int, rou
             at = slice(2 ** level - 1, 2 ** (level + 1) - 1)
             trees.features[-1][:, :, at], trees.cuts[-1][:, :, at] = feature, cut
             if level == depth - 1:
+                step = 1.0 if one_vs_rest and len(trees.leaves) == 1 else rate
                 for side, (sg, sh) in enumerate(sides):
-                    trees.leaves[-1][:, :, side::2] = -rate * sg / (sh + penalty)
+                    weight = sh + penalty
+                    trees.leaves[-1][:, :, side::2] = -step * sg / np.where(weight > 0, weight, 1.0)
     return trees
 
 
@@ -174,7 +190,9 @@ def prepare(df: DataFrame, features_col: str, label_col: str, fold_col: str | No
     fold = F.lit(-1) if fold_col is None else F.coalesce(F.col(fold_col).cast("int"), F.lit(-1))
     own = df.where(F.col(label_col).isNotNull()).select(F.col(label_col).cast("int").alias("label"), fold.alias("fold"),
                                                        F.col(features_col).alias("features"))
-    return pin(binned(own, "features", cuts, "label", "fold")), cuts
+    # few bytes and much work a row: a part for every core
+    parts = df.sparkSession.sparkContext.defaultParallelism
+    return pin(binned(own, "features", cuts, "label", "fold").repartition(parts)), cuts
 
 
 def kfold_boosted(df: DataFrame, features_col: str, label_col: str, fold_col: str, classes: int, k: int = 5, rounds: int = 10,

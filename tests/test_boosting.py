@@ -92,3 +92,48 @@ def test_learns_and_survives_odd_values(spark):
     got = boosting.kfold_boosted(frame, "features", "label", "fold", 3, k=4, rounds=5).collect()
     assert len(got) == 4 and np.mean([r.score for r in got]) > 0.8
     assert boosting.kfold_boosted(frame.where("fold > 9"), "features", "label", "fold", 3, k=4, rounds=1).collect() == []
+
+
+def _plain_ovr(bins, y, classes, n_bins, rounds, depth, rate):
+    """One-vs-rest scores: regression trees on the log loss's residuals, leaves are their means."""
+    scores = np.zeros((len(y), classes))
+    for k in range(classes):
+        sign = np.where(y == k, 1.0, -1.0)
+        for turn in range(rounds):
+            want = sign if turn == 0 else 4 * sign / (1 + np.exp(2 * sign * scores[:, k]))
+            new = scores[:, k].copy()
+
+            def grow(rows, level):
+                best, split = 1e-9, None
+                for j in range(bins.shape[1] if level < depth else 0):
+                    for b in range(n_bins - 1):
+                        left, right = rows[bins[rows, j] <= b], rows[bins[rows, j] > b]
+                        if len(left) and len(right):
+                            gain = round(sum(want[r].sum() ** 2 / len(r) for r in (left, right)) - want[rows].sum() ** 2 / len(rows), 9)
+                            if gain > best:
+                                best, split = gain, (left, right)
+                if split is None:
+                    new[rows] += (1.0 if turn == 0 else rate) * want[rows].mean()
+                    return
+                grow(split[0], level + 1)
+                grow(split[1], level + 1)
+
+            grow(np.arange(len(y)), 0)
+            scores[:, k] = new
+    return scores
+
+
+def test_one_vs_rest_trees_are_those_of_plain_loops(spark):
+    x, y = _data(160, 5)
+    fold = np.arange(160) % 2
+    rows, cuts = boosting.prepare(_frame(spark, x, y, fold), "features", "label", "fold", 6)
+    assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    trees = boosting.fit_boosted(rows, 4, 6, 3, rounds=3, depth=5, rate=0.1, penalty=0.0, folds=2, one_vs_rest=True)
+    bins = _binned(spark, x, cuts)
+    for m in range(2):
+        own = fold != m
+        assert np.allclose(trees.scores(bins[own], m, 3), _plain_ovr(bins[own], y[own], 3, 6, 3, 5, 0.1), atol=1e-8)
+    got = boosting.kfold_boosted(_frame(spark, x, y, fold), "features", "label", "fold", 3, k=2, rounds=3, depth=5, bins=6, rate=0.1, penalty=0.0,
+                                 one_vs_rest=True).collect()
+    hits = {m: float((trees.scores(bins[fold == m], m, 3).argmax(1) == y[fold == m]).mean()) for m in range(2)}
+    assert {r.fold: r.score for r in got} == pytest.approx(hits)
