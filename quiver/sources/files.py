@@ -97,15 +97,17 @@ def write_annotation_objects(boxes: DataFrame, images: DataFrame, path: str) ->
     """Annotations as one JSON object per class, in one file per class folder: the entries of
     ``write_annotation_json`` between braces, with commas, indented over several lines."""
     lines = write_annotation_json(boxes, images, path + "-lines")
-    entries = images.sparkSession.read.text(lines).select("target", F.expr("substring(value, 2, length(value) - 2)").alias("value"))
-    rows = entries.select("target", F.lit(1).alias("_o"), "value")
-    first = rows.groupBy("target").agg(F.min("value").alias("_first"))
-    rows = rows.join(first, "target").select("target", "_o", F.when(F.col("value") == F.col("_first"), F.col("value")).otherwise(
-        F.concat(F.lit(", "), F.col("value"))).alias("value"), (F.col("value") != F.col("_first")).cast("int").alias("_later"))
-    ends = first.select("target", F.explode(F.array(F.struct(F.lit(0).alias("_o"), F.lit("{").alias("value")),
-                                                    F.struct(F.lit(2).alias("_o"), F.lit("}").alias("value")))).alias("e"),
-                        ).select("target", "e._o", "e.value", F.lit(0).alias("_later"))
-    (rows.unionByName(ends).repartition("target").sortWithinPartitions("target", "_o", "_later", "value")
+    # an entry's comma stands before it, so only the first of a class has none; entries keep no order, and
+    # two numbers are compared, not texts
+    rows = images.sparkSession.read.text(lines).select(
+        "target", F.expr("substring(value, 2, length(value) - 2)").alias("value"), F.monotonically_increasing_id().alias("_o"))
+    first = rows.groupBy("target").agg(F.min("_o").alias("_first"))
+    rows = rows.join(first, "target").select("target", "_o", F.when(F.col("_o") == F.col("_first"), F.col("value")).otherwise(
+        F.concat(F.lit(", "), F.col("value"))).alias("value"))
+    ends = first.select("target", F.explode(F.array(F.struct(F.lit(-1).cast("long").alias("_o"), F.lit("{").alias("value")),
+                                                    F.struct(F.lit((1 << 63) - 1).alias("_o"), F.lit("}").alias("value")))).alias("e"),
+                        ).select("target", "e._o", "e.value")
+    (rows.unionByName(ends).repartition("target").sortWithinPartitions("target", "_o")
      .select("target", "value").write.partitionBy("target").text(path))
     return path
 

@@ -106,7 +106,7 @@ def range_starts(effects: DataFrame) -> list[tuple[str, int, bool, int]]:
     """(file, start, inside, depth) of every range: the effects of the ranges before it, combined
     in order. One row per byte range of the files comes to the driver, no text."""
     out, file, inside, depth = [], None, False, 0
-    for r in effects.orderBy("file", "start").collect():
+    for r in sorted(effects.collect(), key=lambda r: (r.file, r.start)):  # sorted by Spark, the texts would be read twice
         if r.file != file:
             file, inside, depth = r.file, False, 0
         out.append((r.file, r.start, inside, depth))
@@ -118,7 +118,7 @@ def range_starts(effects: DataFrame) -> list[tuple[str, int, bool, int]]:
 def _cut(machine):
     """Whole records of a range (part NULL), and its edges: before its first end (0) or all of
     it if it has none (0), and after its last end (1)."""
-    columns = ["file", "start", "inside", "depth"]
+    columns = ["range", "inside", "depth"]
 
     def run(batches):
         key, held, seen, inside, depth = None, [], False, False, 0
@@ -126,18 +126,18 @@ def _cut(machine):
 
         def edge():
             # a range that stops at a record's end leaves an empty edge: the next record begins anew
-            return [(*key, int(seen), machine.text(held) if held else None)] if key and (held or seen) else []
+            return [(key, int(seen), machine.text(held) if held else None)] if key is not None and (held or seen) else []
 
-        for (file, start, first_inside, first_depth), values in _runs(batches, columns):
-            if (file, start) != key:
+        for (number, first_inside, first_depth), values in _runs(batches, columns):
+            if number != key:
                 done += edge()
-                key, held, seen, inside, depth = (file, start), [], False, first_inside, first_depth
+                key, held, seen, inside, depth = number, [], False, first_inside, first_depth
             for v in values:
                 inside, change = machine.step(v, inside)
                 depth += change
                 held.append(v)
                 if machine.ends(inside, depth):
-                    done.append((file, start, None if seen else 0, machine.text(held)))
+                    done.append((number, None if seen else 0, machine.text(held)))
                     held, seen = [], True
             yield _batch(done)
             done = []
@@ -146,11 +146,11 @@ def _cut(machine):
     return run
 
 
-_PIECE = pa.schema([("file", pa.string()), ("start", pa.int64()), ("part", pa.int32()), ("record", pa.string())])
+_PIECE = pa.schema([("range", pa.int32()), ("part", pa.int32()), ("record", pa.string())])
 
 
 def _batch(rows: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], _PIECE.field(k).type) for k in range(4)], schema=_PIECE)
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], _PIECE.field(k).type) for k in range(3)], schema=_PIECE)
 
 
 def read_records(spark: SparkSession, path: str, machine) -> DataFrame:
@@ -159,15 +159,17 @@ def read_records(spark: SparkSession, path: str, machine) -> DataFrame:
     beyond that; empty ones may come or go."""
     fragments = _fragments(spark, path, machine)
     starts = range_starts(range_effects(fragments, machine))
-    table = spark.createDataFrame(starts, "file string, start long, inside boolean, depth long")  # one row per byte range
-    placed = fragments.join(F.broadcast(table), ["file", "start"], "left").select(
-        "file", "start", F.coalesce("inside", F.raise_error(F.lit("a byte range was not seen in the first pass"))).alias("inside"),
-        "depth", "value")
-    pieces = placed.mapInArrow(_cut(machine), "file string, start long, part int, record string")
-    whole = pieces.where(F.col("part").isNull()).select("file", "start", F.lit(False).alias("first"), "record")
+    # one row per byte range; rows carry its number, not the file's path
+    table = F.broadcast(spark.createDataFrame([(i, *r) for i, r in enumerate(starts)],
+                                              "range int, file string, start long, inside boolean, depth long"))
+    placed = fragments.join(table, ["file", "start"], "left").select(
+        F.coalesce("range", F.raise_error(F.lit("a byte range was not seen in the first pass"))).alias("range"), "inside", "depth", "value")
+    pieces = placed.mapInArrow(_cut(machine), "range int, part int, record string")
+    named = lambda d: d.join(table.select("range", "file", "start"), "range")
+    whole = named(pieces.where(F.col("part").isNull())).select("file", "start", F.lit(False).alias("first"), "record")
     # edges: a range's first piece ends what the last piece before it began
     order = Window.partitionBy("file").orderBy("start", "part")
-    edges = pieces.where(F.col("part").isNotNull()).withColumn("began", F.sum("part").over(order))
+    edges = named(pieces.where(F.col("part").isNotNull())).withColumn("began", F.sum("part").over(order))
     joined = edges.groupBy("file", "began").agg(F.sort_array(F.collect_list(F.struct("start", "part", "record"))).alias("l")).select(
         "file", F.col("l")[0]["start"].alias("start"), (F.col("began") == 0).alias("first"), F.array_join(F.col("l.record"), "\n" if machine.separator == "\n" else "").alias("record"))
     return whole.unionByName(joined)
